@@ -25,8 +25,10 @@ def in_date_range(day: Column, first: date | str, last: date | str) -> Column:
     return day.between(F.lit(str(first)).cast("date"), F.lit(str(last)).cast("date"))
 
 
-def purchases_by_state(sales: DataFrame, customers: DataFrame, when: Column, product: str, ages: tuple[int, int]) -> DataFrame:
-    """``(state, tv_purchases)``-shaped counts for one product and buyers of an inclusive age range."""
+def purchases_by_state(
+    sales: DataFrame, customers: DataFrame, when: Column, product: str, ages: tuple[int, int]
+) -> DataFrame:
+    """Purchases of one product per state, by buyers of an inclusive age range."""
     bought = sales.where((F.col("product_name") == product) & when)
     per_client = bought.groupBy("client_id").agg(F.count(F.lit(1)).alias("_n"))
     buyers = customers.where(F.col("age").between(*ages)).select("client_id", "state")

@@ -7,38 +7,48 @@ from pyspark.sql.types import StructType
 
 MONEY = "decimal(10,2)"
 
+
+def _columns(text: str) -> StructType:
+    """``"a string, b date"`` as a schema, without needing a running session."""
+    schema = StructType()
+    for column in text.replace("decimal(10,2)", "money").split(", "):
+        name, kind = column.split(" ")
+        schema = schema.add(name, MONEY if kind == "money" else kind)
+    return schema
+
+
 # Table layouts that producers and readers of the layers rely on.
-RAW_SALES = StructType.fromDDL("CustomerId string, PurchaseDate string, Product string, Price string")
-RAW_CUSTOMERS = StructType.fromDDL(
+RAW_SALES = _columns("CustomerId string, PurchaseDate string, Product string, Price string")
+RAW_CUSTOMERS = _columns(
     "Id string, FirstName string, LastName string, Email string, RegistrationDate string, State string"
 )
-RAW_PROFILES = StructType.fromDDL(
+RAW_PROFILES = _columns(
     "email string, full_name string, state string, birth_date string, phone_number string"
 )
-BRONZE_SALES = StructType.fromDDL(
+BRONZE_SALES = _columns(
     "CustomerId string, PurchaseDate string, Product string, Price string, ingested_at timestamp"
 )
-BRONZE_CUSTOMERS = StructType.fromDDL(
+BRONZE_CUSTOMERS = _columns(
     "Id string, FirstName string, LastName string, Email string, RegistrationDate string, "
     "State string, delivery_date date, ingested_at timestamp"
 )
-SILVER_SALES = StructType.fromDDL(
-    f"client_id int, purchase_date date, product_name string, price {MONEY}, processed_at timestamp"
+SILVER_SALES = _columns(
+    f"client_id integer, purchase_date date, product_name string, price {MONEY}, processed_at timestamp"
 )
-SILVER_CUSTOMERS = StructType.fromDDL(
-    "client_id int, first_name string, last_name string, email string, "
+SILVER_CUSTOMERS = _columns(
+    "client_id integer, first_name string, last_name string, email string, "
     "registration_date date, state string, processed_at timestamp"
 )
-SILVER_PROFILES = StructType.fromDDL(
+SILVER_PROFILES = _columns(
     "email string, state string, birth_date date, phone_number string, "
     "first_name string, last_name string, processed_at timestamp"
 )
-GOLD_CUSTOMERS = StructType.fromDDL(
-    "client_id bigint, email string, first_name string, last_name string, registration_date date, "
-    "state string, birth_date date, age bigint, phone_number string, processed_at timestamp"
+GOLD_CUSTOMERS = _columns(
+    "client_id long, email string, first_name string, last_name string, registration_date date, "
+    "state string, birth_date date, age long, phone_number string, processed_at timestamp"
 )
-GOLD_SALES = StructType.fromDDL(
-    "purchase_date date, client_id int, first_name string, last_name string, email string, "
+GOLD_SALES = _columns(
+    "purchase_date date, client_id integer, first_name string, last_name string, email string, "
     "state string, registration_date date, full_name string, birth_date date, phone_number string, "
     f"product_name string, price {MONEY}"
 )

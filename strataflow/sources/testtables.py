@@ -129,3 +129,8 @@ class Layers:
         return gold.enrich_customers(
             self.customers, self.profiles, as_of=F.lit(AS_OF).cast("date")
         ).drop("processed_at")
+
+    @cached_property
+    def state_sales(self) -> DataFrame:
+        """Silver sales with the state of the buyer."""
+        return self.sales.join(self.customers.select("client_id", "state"), "client_id")
