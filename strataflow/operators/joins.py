@@ -36,6 +36,18 @@ def left_join_chain(
     return facts.join(left_join_on_nullable(middle, far, far_key), middle_key, "left")
 
 
+def left_join_to_many(few: DataFrame, many: DataFrame, key: str) -> DataFrame:
+    """``few`` left join ``many``, where ``many`` may hold very many rows of one key.
+
+    A skewed right side of a left join cannot be split at run time, that of an inner join can. So
+    matches come from an inner join, and the rest from an anti join with the distinct keys.
+    """
+    matched = many.join(few, key)
+    unmatched = few.join(many.select(key).distinct(), key, "left_anti")
+    columns = [*few.columns, *(name for name in many.columns if name != key)]
+    return matched.unionByName(unmatched, allowMissingColumns=True).select(*columns)
+
+
 def lookup_join(facts: DataFrame, lookup: DataFrame, key: str, max_rows: int = LOOKUP_ROWS) -> DataFrame:
     """Left join that broadcasts ``lookup`` only after counting it; a larger one is shuffled."""
     small = lookup.limit(max_rows + 1).count() <= max_rows

@@ -51,19 +51,22 @@ def neighbours(
     value: str,
     previous: str | None = "previous",
     following: str | None = "following",
+    slices: int | None = None,
 ) -> DataFrame:
     """``value`` of the row before and after within its group, in the order of ``order_by``.
 
     Rows are range partitioned by group, order and row mark, so a group (even one of equal copies)
     is cut into as many slices as its size asks for. Windows run per slice; the ends of a slice
-    look at the slices beside it through a summary of one row per slice and group.
+    look at the slices beside it through a summary of one row per slice and group. The number of
+    slices is that of shuffle partitions, unless given.
     """
     columns = df.columns
     # Sorting each partition first gives equal input equal marks when a task is run again.
     marked = df.sortWithinPartitions(*groups, *order_by, *columns).withColumn(
         "_mark", F.monotonically_increasing_id()
     )
-    ranged = marked.repartitionByRange(*groups, *order_by, "_mark")
+    by_range = [*groups, *order_by, "_mark"]
+    ranged = marked.repartitionByRange(*([slices] if slices else []), *by_range)
     rows = staged(ranged.withColumn("_slice", F.spark_partition_id()), "neighbours")
 
     place = [*order_by, "_mark"]

@@ -39,9 +39,13 @@ def sales_typed(bronze: DataFrame, profile: str = "strict") -> DataFrame:
     )
 
 
+def usable_sales(typed: DataFrame, profile: str = "strict") -> DataFrame:
+    keyed = typed.where(F.col("client_id").isNotNull() & F.col("purchase_date").isNotNull())
+    return keyed.where(F.col("price").isNotNull()) if profile == "strict" else keyed
+
+
 def sales_silver(bronze: DataFrame, profile: str = "strict", run_ts: Column | None = None) -> DataFrame:
-    needed = ["client_id", "purchase_date", *(["price"] if profile == "strict" else [])]
-    return sales_typed(bronze, profile).dropna(subset=needed).select("*", _processed(run_ts))
+    return usable_sales(sales_typed(bronze, profile), profile).select("*", _processed(run_ts))
 
 
 def customers_typed(bronze: DataFrame) -> DataFrame:

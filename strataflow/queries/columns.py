@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import functions as fn
+from ..operators.joins import left_join_to_many
 from ..plans import bronze
 from .registry import query
 
@@ -131,9 +132,8 @@ def _(lay):
        LEFT JOIN silver_sales s ON c.client_id = s.client_id""",
 )
 def _(lay):
-    bought = lay.sales.select(F.col("client_id").alias("customer_id"), "purchase_date", "price")
-    joined = bought.alias("s").join(lay.customers.alias("c"), F.expr("c.client_id = s.customer_id"), "right")
-    return joined.select("c.*", "s.purchase_date", "s.price")
+    joined = left_join_to_many(lay.customers, lay.sales.select("client_id", "purchase_date", "price"), "client_id")
+    return joined.alias("c").select("c.*")
 
 
 @query(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import functions as fn
 from ..operators.dedup import any_copy
-from ..operators.joins import left_join_chain, left_join_on_nullable, lookup_join
+from ..operators.joins import left_join_chain, left_join_on_nullable, left_join_to_many, lookup_join
 from .registry import query
 
 
@@ -74,7 +74,7 @@ def _(lay):
 )
 def _(lay):
     televisions = lay.sales.where("product_name = 'TV'").select("client_id", "price")
-    return televisions.join(lay.customers.select("client_id", "email"), "client_id", "right")
+    return left_join_to_many(lay.customers.select("client_id", "email"), televisions, "client_id")
 
 
 @query(
@@ -84,8 +84,8 @@ def _(lay):
 )
 def _(lay):
     ovens = lay.sales.where("product_name = 'Oven'").select(F.col("client_id").alias("customer_id"), "price")
-    people = lay.customers.select("client_id")
-    return ovens.join(people, ovens["customer_id"] == people["client_id"], "right")
+    keyed = ovens.withColumn("client_id", F.col("customer_id"))
+    return left_join_to_many(lay.customers.select("client_id"), keyed, "client_id")
 
 
 @query(
