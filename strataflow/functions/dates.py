@@ -55,7 +55,7 @@ def age_years(birth: Column, as_of: Column) -> Column:
 
 
 def age_exact(birth: Column, as_of: Column) -> Column:
-    """Full years by calendar birthdays."""
+    """Full years by calendar birthdays; one of 29 February falls on the 28th in other years."""
     return F.floor(F.months_between(as_of, birth) / 12)
 
 
