@@ -1,6 +1,6 @@
 """The layer steps as jobs: read, shape, write once, and report row counts of that one pass.
 
-    spark-submit -m strataflow.jobs sales-bronze --raw RAW --bronze BRONZE
+    spark-submit --py-files strataflow.zip run_job.py sales-bronze --raw RAW --bronze BRONZE
 """
 
 from __future__ import annotations

@@ -7,7 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Runtime re-planning does the partition sizing, so no partition counts are fixed here.
+# Used where neither the cluster nor the caller says otherwise. Runtime re-planning sizes the
+# partitions, so no partition counts are fixed here; set spark.sql.shuffle.partitions for the data.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -15,19 +16,23 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-    "spark.ui.enabled": "false",
 }
 
 
 def session(app: str = "strataflow", master: str | None = None, **conf: str) -> SparkSession:
-    """Build a session; anything in ``conf`` (dots as ``__``) wins over the defaults."""
-    builder = SparkSession.builder.appName(app)
+    """Build or join a session; names in ``conf`` have ``__`` for dots."""
+    given = {key.replace("__", "."): value for key, value in conf.items()}
+    builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
     if master:
         builder = builder.master(master)
-    settings = DEFAULTS | {key.replace("__", "."): value for key, value in conf.items()}
-    for key, value in settings.items():
+    for key, value in given.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    settled = spark.sparkContext.getConf()
+    for key, value in DEFAULTS.items():
+        if key not in given and not settled.contains(key):
+            spark.conf.set(key, value)
+    return spark
 
 
 def shared_folder(spark: SparkSession) -> str:

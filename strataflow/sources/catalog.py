@@ -27,6 +27,7 @@ def attach_files_sql(
 
     ``recursive`` takes the files of all folders below; ``key=value`` folders then give no column.
     """
+    path, files = (text.replace("'", "\\'") for text in (path, files))
     spark.sql(
         f"CREATE OR REPLACE TEMPORARY VIEW {quoted(name)} USING parquet OPTIONS "
         f"(path '{path}', pathGlobFilter '{files}', recursiveFileLookup '{str(recursive).lower()}')"

@@ -47,7 +47,7 @@ class Layers:
         for part_type, name in PRODUCTS.items():
             product = F.when(F.col("p_type") == part_type, name).otherwise(product)
         day = F.col("o_orderdate").cast("date")
-        unpadded = F.concat_ws("-", F.date_format(day, "yyyy-MM"), F.dayofmonth(day).cast("string"))
+        unpadded = F.concat(F.substring(day.cast("string"), 1, 8), F.dayofmonth(day).cast("string"))
         amount = F.col("l_extendedprice").cast("decimal(10,2)").cast("string")
         price = (
             F.when(_every("o_orderkey", 97), "")

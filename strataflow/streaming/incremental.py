@@ -11,6 +11,8 @@ from pyspark.sql.types import StructType
 from ..sinks.files import overwrite_days
 from ..sources.files import delivery_date
 
+PROGRESS_KEPT = "spark.sql.streaming.numRecentProgressUpdates"
+
 
 def ingest_new_files(
     spark: SparkSession,
@@ -21,7 +23,7 @@ def ingest_new_files(
     shape: Callable[[DataFrame], DataFrame],
     max_files: int = 10_000,
 ) -> int:
-    """Append the rows of files not seen by an earlier run, then stop. Returns the rows added.
+    """Append the rows of files not seen by an earlier run, then stop. Returns the rows read.
 
     The checkpoint remembers the files and the sink's log makes a repeated batch harmless.
     ``shape`` is the same step as in the batch load. ``max_files`` bounds one micro-batch;
@@ -35,15 +37,21 @@ def ingest_new_files(
         .option("maxFilesPerTrigger", max_files)
         .csv(raw)
     )
-    query = (
-        shape(lines.withColumn("delivery_date", delivery_date()))
-        .writeStream.format("parquet")
+    rows = shape(lines.withColumn("delivery_date", delivery_date()))
+    writer = (
+        rows.writeStream.format("parquet")
         .outputMode("append")
         .option("path", bronze)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start()
     )
+    # The sum needs the progress of every micro-batch, and a query keeps only the last hundred.
+    kept = spark.conf.get(PROGRESS_KEPT)
+    spark.conf.set(PROGRESS_KEPT, 100_000)
+    try:
+        query = writer.start()
+    finally:
+        spark.conf.set(PROGRESS_KEPT, kept)
     query.awaitTermination()
     return sum(progress.numInputRows for progress in query.recentProgress)
 
