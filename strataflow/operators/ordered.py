@@ -7,8 +7,6 @@ partitioned or joined; windows run over per-day totals or over slices of bounded
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,12 +15,18 @@ from pyspark.sql.types import DateType
 from ..session import staged
 
 
-def _with_daily(df: DataFrame, group: str, day: str, totals: Sequence[Column], columns: dict[str, Column]) -> DataFrame:
-    """Add columns that depend only on group and day, worked out on one row per group and day."""
+def _with_daily(
+    df: DataFrame, group: str, day: str, totals: Sequence[Column], columns: dict[str, Column]
+) -> DataFrame:
+    """Add columns that depend only on group and day, worked out on one row per group and day.
+
+    That summary is written first, so Spark knows its size when it plans the join: a small one is
+    broadcast and the big data does not move at all, a large one is shuffled.
+    """
     if not isinstance(df.schema[day].dataType, DateType):
         raise TypeError(f"{day} must be a date: the calendar is what bounds the rows per group")
     daily = df.groupBy(group, day).agg(*totals).withColumns(columns)
-    daily = daily.select(F.col(group).alias("_group"), F.col(day).alias("_day"), *columns)
+    daily = staged(daily.select(F.col(group).alias("_group"), F.col(day).alias("_day"), *columns), "daily")
     same = df[group].eqNullSafe(daily["_group"]) & df[day].eqNullSafe(daily["_day"])
     return df.join(daily, same, "left").drop("_group", "_day")
 
@@ -55,47 +59,39 @@ def neighbours(
 ) -> DataFrame:
     """``value`` of the row before and after within its group, in the order of ``order_by``.
 
-    Rows are range partitioned by group, order and row mark, so a group (even one of equal copies)
-    is cut into as many slices as its size asks for. Windows run per slice; the ends of a slice
-    look at the slices beside it through a summary of one row per slice and group. The number of
-    slices is that of shuffle partitions, unless given.
+    Rows are range partitioned by group and order, so a group is cut into as many slices as its
+    size asks for. Each slice then gets the last row of the slice before it and the first of the
+    one after it as guests, found in a summary of one row per slice and group, and windows run per
+    slice. The number of slices is that of shuffle partitions, unless given. Ties of ``order_by``
+    are ordered by ``value``.
     """
     columns = df.columns
-    # Sorting each partition first gives equal input equal marks when a task is run again.
-    marked = df.sortWithinPartitions(*groups, *order_by, *columns).withColumn(
-        "_mark", F.monotonically_increasing_id()
-    )
-    by_range = [*groups, *order_by, "_mark"]
-    ranged = marked.repartitionByRange(*([slices] if slices else []), *by_range)
+    ties = [] if value in order_by else [value]
+    # Copies differ in nothing but the input partition they came from. That is the same when a
+    # task runs again, and lets even one row repeated over much of the data be cut into slices.
+    place = [*order_by, *ties, "_from"]
+    marked = df.withColumn("_from", F.spark_partition_id())
+    ranged = marked.repartitionByRange(*([slices] if slices else []), *groups, *place)
     rows = staged(ranged.withColumn("_slice", F.spark_partition_id()), "neighbours")
 
-    place = [*order_by, "_mark"]
-    inside = Window.partitionBy("_slice", *groups).orderBy(*place)
-    seen = rows.withColumns(
-        {
-            "_before": F.lag(value).over(inside),
-            "_after": F.lead(value).over(inside),
-            "_is_first": F.lag(F.lit(1)).over(inside).isNull(),
-            "_is_last": F.lead(F.lit(1)).over(inside).isNull(),
-        }
+    ends = rows.groupBy("_slice", *groups).agg(
+        F.min(F.struct(*place)).alias("_start"), F.max(F.struct(*place)).alias("_end")
     )
     across = Window.partitionBy(*groups).orderBy("_slice")
-    ends = rows.groupBy("_slice", *groups).agg(
-        F.min_by(F.struct(value), F.struct(*place)).alias("_start"),
-        F.max_by(F.struct(value), F.struct(*place)).alias("_end"),
+    beside = ends.select(
+        "_slice", *groups, F.lag("_end").over(across).alias("_back"), F.lead("_start").over(across).alias("_ahead")
     )
-    ends = ends.withColumns(
-        {
-            "_slice_before": F.lag("_end").over(across)[value],
-            "_slice_after": F.lead("_start").over(across)[value],
-        }
+    guests = F.filter(
+        F.array(
+            F.struct(F.lit(-1).alias("_guest"), F.col("_back").alias("_row")),
+            F.struct(F.lit(1).alias("_guest"), F.col("_ahead").alias("_row")),
+        ),
+        lambda guest: guest["_row"].isNotNull(),
     )
-    keys = ["_slice", *groups]
-    ends = ends.select("_slice_before", "_slice_after", *(F.col(key).alias(f"_end_{key}") for key in keys))
-
-    same_slice = reduce(and_, (F.col(key).eqNullSafe(F.col(f"_end_{key}")) for key in keys))
-    joined = seen.join(ends, same_slice, "left")
-    before = F.when(F.col("_is_first"), F.col("_slice_before")).otherwise(F.col("_before"))
-    after = F.when(F.col("_is_last"), F.col("_slice_after")).otherwise(F.col("_after"))
-    wanted = [column.alias(name) for column, name in ((before, previous), (after, following)) if name]
-    return joined.select(*columns, *wanted)
+    guests = beside.select("_slice", *groups, F.inline(guests)).select("_slice", *groups, "_guest", f"_row.{value}")
+
+    complete = rows.withColumn("_guest", F.lit(0)).unionByName(guests, allowMissingColumns=True)
+    inside = Window.partitionBy("_slice", *groups).orderBy("_guest", *place)
+    wanted = {name: F.lag(value).over(inside) for name in [previous] if name}
+    wanted |= {name: F.lead(value).over(inside) for name in [following] if name}
+    return complete.withColumns(wanted).where("_guest = 0").select(*columns, *wanted)
