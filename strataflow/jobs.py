@@ -31,6 +31,7 @@ from .schemas import (
 from .session import session
 from .sinks import overwrite, overwrite_days, overwrite_partitioned, replace_table
 from .sources import csv_delivery, json_lines, parquet, with_delivery_date
+from .streaming import ingest_new_files
 
 Counts = dict[str, int]
 
@@ -113,6 +114,16 @@ def sales_to_gold(spark: SparkSession, sales: str, customers: str, raw_profiles:
     return dict(counts.get)
 
 
+def ingest_sales(spark: SparkSession, raw: str, bronze_path: str, checkpoint: str) -> Counts:
+    """Only files that no earlier run has taken; the batch job above rebuilds everything."""
+    return {"rows_in": ingest_new_files(spark, raw, bronze_path, checkpoint, RAW_SALES, bronze.sales_bronze)}
+
+
+def ingest_customers(spark: SparkSession, raw: str, bronze_path: str, checkpoint: str) -> Counts:
+    rows = ingest_new_files(spark, raw, bronze_path, checkpoint, RAW_CUSTOMERS, bronze.customers_bronze)
+    return {"rows_in": rows}
+
+
 def top_state_report(spark: SparkSession, sales: str, table: str, k: int = 1) -> DataFrame:
     return analytics.top_state(parquet(spark, sales), spark.table(table), k=k)
 
@@ -139,6 +150,8 @@ JOBS = {
     "profiles-silver": (profiles_to_silver, ("raw", "silver")),
     "customers-gold": (customers_to_gold, ("customers", "profiles", "table")),
     "sales-gold": (sales_to_gold, ("sales", "customers", "raw-profiles", "gold")),
+    "sales-ingest": (ingest_sales, ("raw", "bronze", "checkpoint")),
+    "customers-ingest": (ingest_customers, ("raw", "bronze", "checkpoint")),
 }
 
 

@@ -38,9 +38,13 @@ def first_ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
 
 
 def upsert(existing: DataFrame, updates: DataFrame, key: str) -> DataFrame:
-    """All keys of both frames; where both have one, the row of ``updates`` wins as a whole."""
+    """All keys of both frames; where both have one, the row of ``updates`` wins as a whole.
+
+    Other columns break ties, should a key come twice on one side.
+    """
     ranked = updates.withColumn("_source", F.lit(0)).unionByName(existing.withColumn("_source", F.lit(1)))
-    return first_ranked(ranked, [key], [F.col("_source")]).drop("_source")
+    rest = [F.col(name) for name in existing.columns if name != key]
+    return first_ranked(ranked, [key], [F.col("_source"), *rest]).drop("_source")
 
 
 def upsert_by_join(existing: DataFrame, updates: DataFrame, key: str) -> DataFrame:

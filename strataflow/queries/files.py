@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from ..plans import bronze
 from ..schemas import RAW_CUSTOMERS, RAW_PROFILES, RAW_SALES, SILVER_CUSTOMERS
-from ..sinks import append, overwrite, overwrite_days, overwrite_partitioned, write_csv
+from ..sinks import append, overwrite, overwrite_days, overwrite_partitioned, preview, write_csv
 from ..sources import csv_delivery, drop_void_columns, json_lines, parquet, split_malformed, with_delivery_date
 from ..sources.files import MALFORMED
+from ..streaming import ingest_new_files, reload_days
 from .registry import query, scratch
 
 DUMPS = ("2001-08-1", "2001-08-2", "2001-08-3")
@@ -225,8 +226,6 @@ def _(lay):
 
 @query("b13_preview", "SELECT * FROM gold_customers ORDER BY client_id LIMIT 10")
 def _(lay):
-    from ..sinks import preview
-
     return preview(lay.enriched.orderBy("client_id"))
 
 
@@ -260,8 +259,6 @@ def _(lay):
 
 @query("k1_incremental_ingest", RAW_CUSTOMERS_READ)
 def _(lay):
-    from ..streaming import ingest_new_files
-
     root = scratch(lay, "stream")
     where = {"raw": f"{root}/raw", "bronze": f"{root}/bronze", "checkpoint": f"{root}/checkpoint"}
     for days in (DUMPS[:2], DUMPS[2:], ()):
@@ -272,8 +269,6 @@ def _(lay):
 
 @query("k2_idempotent_reload", "SELECT * FROM silver_sales")
 def _(lay):
-    from ..streaming import reload_days
-
     path = scratch(lay, "sales-by-day")
     reload_days(lay.sales, path)
     reload_days(lay.sales.where(F.year("purchase_date") == 1999), path)

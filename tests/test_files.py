@@ -189,6 +189,12 @@ def test_jobs_from_files_to_answer(spark, folder, database, capsys):
         "rows_out": 3,
         "rows_dropped": 1,
     }
+    for job, rows in (("sales", [4, 0]), ("customers", [4, 0])):
+        folders = ("--raw", f"{raw}/{job}", "--bronze", at(f"new-{job}"), "--checkpoint", at(f"state-{job}"))
+        assert [run(f"{job}-ingest", *folders)["rows_in"] for _ in range(2)] == rows
+    assert rows_of(spark.read.parquet(at("new-sales")).drop("ingested_at")) == rows_of(
+        spark.read.parquet(at("bs")).drop("ingested_at")
+    )
     counts = run("sales-silver", "--bronze", at("bs"), "--silver", at("ss"))
     assert (counts["rows_in"], counts["rows_out"], counts["bad_client_id"], counts["bad_price"]) == (3, 2, 1, 0)
     assert run("sales-silver", "--bronze", at("bs"), "--silver", at("ss"), "--only-days")["rows_out"] == 2
