@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LOOKUP_ROWS = 50_000
+LOOKUP_BYTES = 16 * 1024 * 1024
 
 
 def left_join_on_nullable(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -48,7 +49,15 @@ def left_join_to_many(few: DataFrame, many: DataFrame, key: str) -> DataFrame:
     return matched.unionByName(unmatched, allowMissingColumns=True).select(*columns)
 
 
-def lookup_join(facts: DataFrame, lookup: DataFrame, key: str, max_rows: int = LOOKUP_ROWS) -> DataFrame:
-    """Left join that broadcasts ``lookup`` only after counting it; a larger one is shuffled."""
-    small = lookup.limit(max_rows + 1).count() <= max_rows
-    return facts.join(F.broadcast(lookup) if small else lookup, key, "left")
+def fits(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
+    """Whether a frame is within both bounds; reads no more than one row above the first."""
+    width = F.octet_length(F.to_json(F.struct("*")))
+    rows, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return rows <= max_rows and size <= max_bytes
+
+
+def lookup_join(
+    facts: DataFrame, lookup: DataFrame, key: str, max_rows: int = LOOKUP_ROWS, max_bytes: int = LOOKUP_BYTES
+) -> DataFrame:
+    """Left join that broadcasts ``lookup`` only after measuring it; a larger one is shuffled."""
+    return facts.join(F.broadcast(lookup) if fits(lookup, max_rows, max_bytes) else lookup, key, "left")

@@ -163,6 +163,8 @@ def test_lookup_join_broadcasts_only_what_it_has_counted(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
         small, large = lookup_join(facts, lookup, "k"), lookup_join(facts, lookup, "k", max_rows=4)
+        wide = lookup_join(facts, lookup, "k", max_bytes=20)
+        assert "BroadcastHashJoin" not in wide._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastHashJoin" not in large._jdf.queryExecution().executedPlan().toString()
         assert rows_of(small) == rows_of(large) == rows_of(facts.join(lookup, "k", "left"))
