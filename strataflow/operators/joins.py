@@ -14,17 +14,18 @@ LOOKUP_BYTES = 16 * 1024 * 1024
 
 
 def left_join_on_nullable(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Left join on a key that is often NULL on the left.
+    """Left join on a text or number key that is often NULL on the left.
 
-    A NULL key can never match, so those rows are spread by their other columns instead of all
-    hashing to one partition. Rows of ``right`` without a key are left out early.
+    Rows without a key would all hash to one partition. They are given a hash of their other
+    columns to travel by, and the join condition still says that they match nothing.
     """
     others = [name for name in left.columns if name != key] or [key]
-    keyed = left.withColumns(
-        {"_spread": F.when(F.col(key).isNull(), F.xxhash64(*others)).otherwise(F.lit(0).cast("long"))}
-    )
-    matchable = right.where(F.col(key).isNotNull()).withColumn("_spread", F.lit(0).cast("long"))
-    return keyed.join(matchable, [key, "_spread"], "left").drop("_spread")
+    travel = F.coalesce(F.col(key), F.hash(*others).cast(left.schema[key].dataType))
+    keyed = left.withColumn("_travel", travel)
+    found = right.where(F.col(key).isNotNull()).withColumnRenamed(key, "_found")
+    matches = (F.col("_travel") == F.col("_found")) & F.col(key).isNotNull()
+    columns = [key, *(name for name in left.columns if name != key)]
+    return keyed.join(found, matches, "left").select(*columns, *(n for n in right.columns if n != key))
 
 
 def left_join_chain(

@@ -25,11 +25,19 @@ def in_date_range(day: Column, first: date | str, last: date | str) -> Column:
     return day.between(F.lit(str(first)).cast("date"), F.lit(str(last)).cast("date"))
 
 
+def keyed_like(sales: DataFrame, customers: DataFrame) -> DataFrame:
+    """Sales with ``client_id`` in the type of the customer table.
+
+    Cast before grouping, so that the partitions of the sums also serve the join.
+    """
+    return sales.withColumn("client_id", F.col("client_id").cast(customers.schema["client_id"].dataType))
+
+
 def purchases_by_state(
     sales: DataFrame, customers: DataFrame, when: Column, product: str, ages: tuple[int, int]
 ) -> DataFrame:
     """Purchases of one product per state, by buyers of an inclusive age range."""
-    bought = sales.where((F.col("product_name") == product) & when)
+    bought = keyed_like(sales, customers).where((F.col("product_name") == product) & when)
     per_client = bought.groupBy("client_id").agg(F.count(F.lit(1)).alias("_n"))
     buyers = customers.where(F.col("age").between(*ages)).select("client_id", "state")
     return per_client.join(buyers, "client_id").groupBy("state").agg(F.sum("_n").alias("purchases"))
@@ -84,5 +92,5 @@ def rolled_up(totals: DataFrame, *by: str) -> DataFrame:
 def sales_by_state_and_age(sales: DataFrame, customers: DataFrame, width: int = 10) -> DataFrame:
     """Orders and revenue by state and age band of the buyer."""
     buyers = customers.select("client_id", "state", age_band(F.col("age"), width).alias("age_band"))
-    joined = client_totals(sales).join(buyers, "client_id")
+    joined = client_totals(keyed_like(sales, customers)).join(buyers, "client_id")
     return rolled_up(joined, "state", "age_band").select("state", "age_band", "total_orders", "total_revenue")

@@ -76,7 +76,8 @@ def sales_enriched(
         F.col("birth_date").cast("date").alias("birth_date"),
         F.trim("phone_number").alias("phone_number"),
     )
-    facts = sales.dropna(subset=["client_id", "purchase_date"]).withColumn("product_name", F.trim("product_name"))
+    usable = F.col("client_id").isNotNull() & F.col("purchase_date").isNotNull()
+    facts = sales.where(usable).withColumn("product_name", F.trim("product_name"))
     joined = left_join_chain(facts, people, "client_id", latest(known, ["email"], []), "email")
     return joined.select(
         "purchase_date",
