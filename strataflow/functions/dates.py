@@ -26,8 +26,9 @@ def day_padded(text: Column) -> Column:
 
 
 def day_lenient(text: Column) -> Column:
-    """Also takes slashes as separators and ignores a time part."""
-    return F.try_to_date(F.regexp_replace(F.translate(text, "/", "-"), _TIME_PART, ""), UNPADDED)
+    """Also takes slashes as separators and ignores a time part and outer spaces."""
+    day = F.regexp_replace(F.translate(F.trim(text), "/", "-"), _TIME_PART, "")
+    return F.try_to_date(day, UNPADDED)
 
 
 def day_text(text: Column, time_part: bool = False) -> Column:

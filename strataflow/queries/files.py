@@ -186,12 +186,11 @@ def _(lay):
          THEN CAST(price + 1 AS DECIMAL(10,2)) ELSE price END AS price FROM silver_sales""",
 )
 def _(lay):
-    path = scratch(lay, "sales-by-day")
-    overwrite_partitioned(lay.sales, path, "purchase_date")
-    corrected = lay.sales.where(F.year("purchase_date") == 1997)
-    overwrite_days(
-        corrected.withColumn("price", (F.col("price") + 1).cast("decimal(10,2)")), path, "purchase_date"
-    )
+    path = scratch(lay, "sales-by-month")
+    monthly = lay.sales.withColumn("month", F.trunc("purchase_date", "month"))
+    overwrite_partitioned(monthly, path, "month")
+    corrected = monthly.where(F.year("purchase_date") == 1997)
+    overwrite_days(corrected.withColumn("price", (F.col("price") + 1).cast("decimal(10,2)")), path, "month")
     return parquet(lay.spark, path).select(*lay.sales.columns)
 
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date
-from decimal import Decimal
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from strataflow import functions as fn
@@ -55,7 +58,7 @@ DAY = date(2022, 9, 1)
         ("2022-02-30", None, None, None, None),
         ("2022-09-1 10:00", None, DAY, None, DAY),
         ("2022-09-01T12:34:56", None, DAY, None, DAY),
-        (" 2022-09-01 ", None, None, DAY, DAY),
+        (" 2022-09-01 ", None, DAY, DAY, DAY),
         ("unknown", None, None, None, None),
         ("2022-9-123", None, None, None, None),
         ("", None, None, None, None),
@@ -118,3 +121,41 @@ def test_text_helpers(spark):
     assert apply(spark, lambda c: fn.without_token(c, "N/A"), ["N/A", "xN/Ay", "NA"]) == ["", "xy", "NA"]
     valid = apply(spark, lambda c: c.rlike(fn.LIKELY_EMAIL), ["a.b_1@x.example.com", "a@b", "a b@x.com", "a@x.c"])
     assert valid == [True, False, False, False]
+
+
+PRICE_PIECES = st.sampled_from(["$", "USD ", "-", ",", ".", " ", "x", *"0123456789", "12", "345678", "99999999"])
+DATE_PIECES = st.sampled_from(["2022", "1999", "-", "/", "9", "09", "31", "123", "T", " ", "10:00"])
+
+
+def read_price(text):
+    """The rule in plain Python: digits and dots only, eight digits before the point, cents half up."""
+    kept = re.sub("[^0-9.]", "", text)
+    if not re.fullmatch(r"\d+\.?\d*|\.\d+", kept):
+        return None
+    value = Decimal(kept).quantize(Decimal("0.01"), ROUND_HALF_UP)
+    return value if value < 10**8 else None
+
+
+def read_day(text):
+    """Year of four digits, month and day of one or two, and a real calendar day."""
+    match = re.fullmatch(r"(\d{4})-(\d{1,2})-(\d{1,2})", text)
+    try:
+        return match and date(*map(int, match.groups()))
+    except ValueError:
+        return None
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(PRICE_PIECES, max_size=6).map("".join), min_size=150, max_size=300))
+def test_any_price_text(spark, texts):
+    assert apply(spark, fn.money, texts) == [read_price(text) for text in texts]
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(DATE_PIECES, max_size=6).map("".join), min_size=150, max_size=300))
+def test_any_date_text(spark, texts):
+    strict = [read_day(text) for text in texts]
+    assert apply(spark, fn.day_unpadded, texts) == strict
+    assert apply(spark, fn.day_normalised, texts) == [read_day(text.strip(" ")) for text in texts]
+    whole = [text.strip(" ").replace("/", "-") for text in texts]
+    assert apply(spark, fn.day_lenient, texts) == [read_day(re.split(r"[T\s]", text)[0]) for text in whole]
