@@ -86,6 +86,15 @@ def test_no_registered_query_has_a_nested_loop_or_cartesian_join(spark):
         assert "Python" not in plan, name
 
 
+def test_dirty_text_is_parsed_once_and_product_filters_still_reach_the_scan(spark, folder):
+    spark.range(3).selectExpr(
+        "'1' AS CustomerId", "'2022-9-1' AS PurchaseDate", "'TV' AS Product", "'5' AS Price"
+    ).write.parquet(folder)
+    plan = plan_of(silver.sales_silver(spark.read.parquet(folder)).where("product_name = 'TV'"))
+    assert plan.count("gettimestamp(") == 1 and plan.count("regexp_replace(") == 1
+    assert "EqualTo(Product,TV)" in plan
+
+
 def hot_sales(spark):
     """One client with a third of all sales."""
     return spark.range(0, 60000, 1, 8).select(
