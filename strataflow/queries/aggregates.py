@@ -52,10 +52,10 @@ def _(lay):
        FROM silver_sales GROUP BY product_name""",
 )
 def _(lay):
-    """One distinct count at a time, each combined before its shuffle, then put side by side."""
-    clients = lay.sales.groupBy("product_name").agg(F.count_distinct("client_id").alias("unique_customers"))
-    days = lay.sales.groupBy("product_name").agg(F.count_distinct("purchase_date").alias("days"))
-    return clients.join(days, "product_name")
+    return lay.sales.groupBy("product_name").agg(
+        F.count_distinct("client_id").alias("unique_customers"),
+        F.count_distinct("purchase_date").alias("days"),
+    )
 
 
 @query(
