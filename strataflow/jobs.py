@@ -29,7 +29,7 @@ from .schemas import (
     require_contract,
 )
 from .session import session
-from .sinks import overwrite, overwrite_days, overwrite_partitioned, replace_table
+from .sinks import merge_into, overwrite, overwrite_days, overwrite_partitioned, replace_table
 from .sources import csv_delivery, json_lines, parquet, with_delivery_date
 from .streaming import ingest_new_files
 
@@ -81,6 +81,25 @@ def customers_to_silver(spark: SparkSession, bronze_path: str, silver_path: str)
     return _deduplicated(seen.get["rows"], seen.get["bad_client_id"], rows_out.get["rows"])
 
 
+def merge_customers(
+    spark: SparkSession, bronze_path: str, table: str, location: str, since: str | None = None
+) -> Counts:
+    """Bring a silver customer table up to date with the dumps delivered from ``since`` on.
+
+    Reads the new dumps and the table instead of every dump ever delivered. ``location`` is a new
+    folder for the merged rows.
+    """
+    dumps = parquet(spark, bronze_path)
+    if since:
+        dumps = dumps.where(F.col("delivery_date") >= F.lit(since).cast("date"))
+    newest, counts = observed(require_contract(silver.customers_silver(dumps), SILVER_CUSTOMERS), "newest")
+    if spark.catalog.tableExists(table):
+        merge_into(newest, table, "client_id", location)
+    else:
+        replace_table(newest, table, SILVER_CUSTOMERS, location)
+    return dict(counts.get)
+
+
 def profiles_to_silver(spark: SparkSession, raw: str, silver_path: str) -> Counts:
     read, seen = observed(json_lines(spark, raw, RAW_PROFILES), "read", no_email=F.col("email").isNull())
     kept, rows_out = observed(require_contract(silver.profiles_silver(read), SILVER_PROFILES), "kept")
@@ -147,6 +166,7 @@ JOBS = {
     "sales-silver": (sales_to_silver, ("bronze", "silver")),
     "customers-bronze": (customers_to_bronze, ("raw", "bronze")),
     "customers-silver": (customers_to_silver, ("bronze", "silver")),
+    "customers-merge": (merge_customers, ("bronze", "table", "location")),
     "profiles-silver": (profiles_to_silver, ("raw", "silver")),
     "customers-gold": (customers_to_gold, ("customers", "profiles", "table")),
     "sales-gold": (sales_to_gold, ("sales", "customers", "raw-profiles", "gold")),
@@ -166,6 +186,7 @@ def main(argv: list[str] | None = None) -> Counts:
         "--profile", choices=("strict", "lenient", "normalised"), default="strict"
     )
     commands.choices["sales-silver"].add_argument("--only-days", action="store_true")
+    commands.choices["customers-merge"].add_argument("--since")
     commands.choices["customers-gold"].add_argument("--location")
     commands.choices["customers-gold"].add_argument("--as-of")
     given = vars(parser.parse_args(argv))

@@ -201,6 +201,11 @@ def test_jobs_from_files_to_answer(spark, folder, database, capsys):
     assert run("customers-bronze", "--raw", f"{raw}/customers", "--bronze", at("bc"))["undated"] == 0
     counts = run("customers-silver", "--bronze", at("bc"), "--silver", at("sc"))
     assert counts == {"rows_in": 4, "rows_without_key": 0, "duplicates_removed": 2, "rows_out": 2}
+    merged = ("--bronze", at("bc"), "--table", f"{table}_clients")
+    assert run("customers-merge", *merged, "--location", at("m1")) == {"rows": 2}
+    assert run("customers-merge", *merged, "--location", at("m2"), "--since", "2022-09-02") == {"rows": 2}
+    once = rows_of(spark.read.parquet(at("sc")).drop("processed_at"))
+    assert rows_of(spark.table(f"{table}_clients").drop("processed_at")) == once
     counts = run("profiles-silver", "--raw", f"{raw}/profiles", "--silver", at("sp"))
     assert (counts["duplicates_removed"], counts["rows_out"]) == (1, 2)
     argv = ("--customers", at("sc"), "--profiles", at("sp"), "--table", table, "--location", at("gold"))

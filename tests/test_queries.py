@@ -20,7 +20,7 @@ TYPES = {
     "boolean": "BOOLEAN",
 }
 
-# Operators of the blueprint that are met by another one, or that have no query of their own.
+# Number of operators in each section of the blueprint.
 SECTIONS = {"a": 17, "b": 14, "c": 15, "d": 17, "e": 7, "f": 11, "g": 8, "h": 5, "i": 2, "j": 24, "k": 2, "m": 8}
 
 
