@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,9 +46,12 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="strataflow-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="strataflow-")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

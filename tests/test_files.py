@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from datetime import date
 from decimal import Decimal
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -221,5 +222,19 @@ def test_jobs_from_files_to_answer(spark, folder, database, capsys):
 
 def test_shared_folder_is_the_one_the_cluster_names(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
-    assert shared_folder(spark) == (named or "").rstrip("/") or named is None
+    assert shared_folder(spark) == named.rstrip("/") if named else shared_folder(spark) == shared_folder(spark)
     assert fresh_path(spark, "x") != fresh_path(spark, "x")
+
+
+class Unnamed:
+    """A session whose cluster names no shared folder."""
+
+    def __init__(self, master):
+        self.sparkContext = SimpleNamespace(master=master)
+        self.conf = SimpleNamespace(get=lambda key, default: default)
+
+
+def test_only_a_local_master_may_do_without_a_shared_folder():
+    assert shared_folder(Unnamed("local[2]")) == shared_folder(Unnamed("local[2]"))
+    with pytest.raises(RuntimeError):
+        shared_folder(Unnamed("yarn"))
