@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -39,12 +40,12 @@ def session(app: str = "strataflow", master: str | None = None, **conf: str) ->
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster.
 
-    Only a local master may fall back to a folder of this machine.
+    Only a master of one process may fall back to a folder of this machine.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
     return _local_folder()
 
@@ -54,16 +55,28 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="strataflow-")
 
 
+@cache
+def _staging(folder: str, app: str) -> str:
+    """One folder per application, which the JVM deletes when it ends."""
+    spark = SparkSession.active()
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/strataflow/{app}")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return f"{folder}/strataflow/{app}"
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark)}/strataflow/{label}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared folder; it lasts as long as the application."""
+    folder = _staging(shared_folder(spark), spark.sparkContext.applicationId)
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and carry on from the files.
 
     Cuts the lineage and fixes non-repeatable columns (partition numbers, row marks), so a lost
-    executor can only cause files to be read again.
+    executor can only cause files to be read again. The files go when the application ends.
     """
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
