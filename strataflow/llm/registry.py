@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup
+from . import exact_dedup, near_dedup
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,3 +40,8 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 )
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.copies(table(spark, sf_dir, "documents"))
+
+
+@query("op1_near_dedup")
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.groups(table(spark, sf_dir, "documents"))
