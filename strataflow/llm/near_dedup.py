@@ -6,10 +6,10 @@ two sets agree in a register about as often as their similarity says, so bands o
 candidates. The counts of greater, smaller and equal registers give the likelihood of every similarity;
 pairs for which 0.8 is out of the question are left out, the others are confirmed on the full sets.
 
-Texts with equal sets are one class from the start. Within a band bucket pairs are not listed: members
-are held against one leader first, then, bucket by bucket, against the members that still stand apart
-from the largest group, until no two members of a bucket belong to different groups without having
-been compared. So no link between members of a bucket is lost, however large it is.
+Texts with equal sets are one class from the start. Pairs of a band bucket are not listed: members are
+held against the leader of their bucket. Then the members that still stand apart from the largest group
+around their leader are compared in full with all others around it, part by part inside tasks, from
+which nothing but links comes out. So no link between members of a bucket is lost, however large it is.
 """
 
 from __future__ import annotations
@@ -19,13 +19,14 @@ from dataclasses import dataclass
 from hashlib import blake2b
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import staged
 from .common import without_ids
-from .components import between, components, joined_up
+from .components import between, joined_up
 from .words import mix, shingles, stream, word_hashes
 
 
@@ -39,7 +40,7 @@ class Params:
     rows: int = 5  # registers in a band
     base: float = 1.01  # of the exponential spacing
     doubt: float = 30.0  # twice the log likelihood ratio beyond which a pair is not confirmed
-    leaders: int = 16  # members of a bucket compared with the whole bucket in one round
+    part: int = 200_000  # shingles of a part of a cluster that one task holds in full
 
     @property
     def registers(self) -> int:
@@ -164,43 +165,82 @@ def _sided(df: DataFrame, end: str, names: dict[str, str]) -> DataFrame:
     return df.select(F.col("node").alias(end), *[F.col(k).alias(v) for k, v in names.items()])
 
 
-class _Search:
-    """Compares pairs of classes and joins up the groups."""
-
-    def __init__(self, sketches: DataFrame, texts: DataFrame, p: Params):
-        self.sketches, self.texts, self.p = sketches, texts, p
-        self.labels = sketches.sparkSession.createDataFrame([], "node long, root long")
-        self.seen = sketches.sparkSession.createDataFrame([], "u long, v long")
-
-    def possible(self, pairs: DataFrame) -> DataFrame:
-        """New ``pairs`` that their registers don't rule out, with the estimate."""
-        pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-        pairs = staged(pairs.join(self.seen, ["u", "v"], "left_anti"), "pairs")
-        self.seen = self.seen.unionByName(pairs)
-        for end in ("u", "v"):
-            pairs = pairs.join(_sided(self.sketches, end, {"registers": f"r_{end}", "n_shingles": f"n_{end}"}), end)
-        likely = _estimate_udf(self.p)("r_u", "r_v", "n_u", "n_v")
-        return staged(pairs.select("u", "v", likely.alias("likely")).where("likely IS NOT NULL"), "possible")
-
-    def link(self, pairs: DataFrame) -> None:
-        """Confirm ``pairs`` on the full sets and join up what is linked."""
-        for end in ("u", "v"):
-            pairs = pairs.join(_sided(self.texts, end, {"text": f"t_{end}"}), end)
-        links = staged(pairs.where(_confirm_udf(self.p)("t_u", "t_v")).select("u", "v"), "links")
-        if not links.isEmpty():
-            self.labels = joined_up(self.labels, links)
-
-    def compare(self, pairs: DataFrame) -> None:
-        """The likeliest partner of each class first; what that joins up need not be confirmed again."""
-        pairs = self.possible(pairs)
-        if pairs.isEmpty():
-            return
-        first = pairs.groupBy("v").agg(F.max_by("u", "likely").alias("u")).select("u", "v")
-        self.link(first)
-        rest = pairs.select("u", "v").join(first, ["u", "v"], "left_anti")
-        rest = staged(between(self.labels, rest).select("u", "v"), "rest")
-        if not rest.isEmpty():
-            self.link(rest)
+def _candidates_of(pairs: DataFrame, sketches: DataFrame, p: Params) -> DataFrame:
+    """The ``pairs`` (``u, v``) that their registers don't rule out, with the likeliest similarity."""
+    for end in ("u", "v"):
+        pairs = pairs.join(_sided(sketches, end, {"registers": f"r_{end}", "n_shingles": f"n_{end}"}), end)
+    likely = _estimate_udf(p)("r_u", "r_v", "n_u", "n_v")
+    return staged(pairs.select("u", "v", likely.alias("likely")).where("likely IS NOT NULL"), "possible")
+
+
+def _linked(labels: DataFrame, pairs: DataFrame, texts: DataFrame, p: Params) -> DataFrame:
+    """``labels`` joined up along the ``pairs`` that the full sets confirm."""
+    for end in ("u", "v"):
+        pairs = pairs.join(_sided(texts, end, {"text": f"t_{end}"}), end)
+    return joined_up(labels, staged(pairs.where(_confirm_udf(p)("t_u", "t_v")).select("u", "v"), "links"))
+
+
+def _stragglers(p: Params):
+    """Compares the members of one part of a cluster that stand apart with the members of another part.
+
+    Sets are compared in full, one straggler with all members at a time; nothing but links comes out,
+    for each straggler one to every group that it touches.
+    """
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        sets = [shingles(w, p.width) for w in word_hashes(pa.array(group["text"], pa.string()), fold=True)]
+        roots, nodes, apart = (group[c].to_numpy() for c in ("root", "node", "apart"))
+        whole = np.flatnonzero(~apart)
+        vocabulary, ids = np.unique(np.concatenate(sets), return_inverse=True)
+        sizes = np.array([len(x) for x in sets])
+        ids = np.split(ids, np.cumsum(sizes)[:-1])
+        links: list[tuple[int, int]] = []
+        if len(whole):
+            flat = np.concatenate([ids[i] for i in whole])
+            starts = np.append(0, np.cumsum(sizes[whole])[:-1])
+            mark = np.zeros(len(vocabulary), dtype=bool)
+            for i in np.flatnonzero(apart):
+                mark[ids[i]] = True
+                common = np.add.reduceat(mark[flat], starts, dtype=np.int64)
+                mark[ids[i]] = False
+                near = 100 * common >= p.percent * (sizes[i] + sizes[whole] - common)
+                hit = whole[near & (roots[whole] != roots[i])]
+                links += [(int(nodes[i]), int(nodes[hit[k]])) for k in np.unique(roots[hit], return_index=True)[1]]
+        return pd.DataFrame(links, columns=["u", "v"], dtype="int64")
+
+    return compare
+
+
+def _rest(led: DataFrame, labels: DataFrame, alone: DataFrame, texts: DataFrame, p: Params) -> DataFrame:
+    """Links within clusters (``leader, node``) that the comparison with the leader left open.
+
+    In a cluster only members outside its largest group can have such links. They are held against all
+    members, part by part: a part holds about ``p.part`` shingles, so no task sees a whole cluster.
+    """
+    rooted = led.join(labels, "node", "left").select("leader", "node", F.coalesce("root", "node").alias("root"))
+    rooted = staged(rooted.join(alone.select("node", "n_shingles"), "node"), "rooted")
+    sizes = rooted.groupBy("leader", "root").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("shingles"))
+    clusters = sizes.groupBy("leader").agg(
+        F.max_by("root", "n").alias("major"), F.count(F.lit(1)).alias("roots"),
+        F.sum("shingles").alias("all"), (F.sum("shingles") - F.max("shingles")).alias("outside"),
+    ).where("roots > 1")
+    parts = lambda c: F.ceil(F.col(c) / p.part).cast("int")
+    clusters = staged(
+        clusters.select("leader", "major", parts("all").alias("rows"), F.greatest(parts("outside"), F.lit(1)).alias("columns")),
+        "clusters",
+    )
+    live = rooted.join(clusters, "leader")
+    spread = F.xxhash64("node")
+    every = live.select(
+        "leader", F.explode(F.sequence(F.lit(0), F.col("columns") - 1)).alias("column"),
+        F.pmod(spread, "rows").cast("int").alias("row"), "node", "root", F.lit(False).alias("apart"),
+    )
+    apart = live.where("root <> major").select(
+        "leader", F.pmod(spread, "columns").cast("int").alias("column"),
+        F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("row"), "node", "root", F.lit(True).alias("apart"),
+    )
+    dealt = every.unionByName(apart).join(texts, "node")
+    return staged(dealt.groupBy("leader", "column", "row").applyInPandas(_stragglers(p), "u long, v long"), "rest")
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p: Params = Params()) -> DataFrame:
@@ -223,37 +263,30 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p: P
     alone = sketched.withColumnRenamed("doc_id", "node").join(classes, ["digest", "node"])
     alone = staged(alone.dropDuplicates(["digest", "node"]).select("node", "n_shingles", "registers"), "class_sketches")
     banded = alone.select("node", F.explode(_bands_udf(p)("registers")).alias("band"))
-    shared = banded.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    members = staged(banded.join(shared.select("band", F.col("low").alias("leader")), "band"), "members")
+    shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = staged(banded.join(shared, "band"), "members")
+
+    # The member that meets most others leads its buckets: in a group of copies the one nearest to all.
+    meets = members.groupBy("node").agg(F.sum("n").alias("meets"))
+    leaders = members.join(meets, "node").groupBy("band").agg(F.max_by("node", "meets").alias("leader"))
+    led = staged(members.join(leaders, "band").select("leader", "node").distinct(), "led")
 
-    candidates = staged(members.select("node").distinct(), "candidates")
+    candidates = staged(led.select("node").distinct(), "candidates")
     sketches = staged(alone.join(candidates, "node"), "candidate_sketches")
-    chosen = classes.join(candidates, "node", "left_semi").select(F.col("node").alias("doc_id")).distinct()
-    texts = staged(base.join(chosen, "doc_id").withColumnRenamed("doc_id", "node"), "candidate_texts")
-
-    search = _Search(sketches, texts, p)
-    search.compare(members.where("node <> leader").select(F.col("leader").alias("u"), F.col("node").alias("v")))
-    members, led = members.select("band", "node"), None
-    while True:
-        rooted = members.join(search.labels, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
-        live = rooted.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("band")
-        rooted = staged(rooted.join(live, "band"), "rooted")
-        sizes = rooted.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
-        major = sizes.groupBy("band").agg(F.max_by("root", "n").alias("major"))
-        apart = rooted.join(major, "band").where("root <> major").drop("major")
-        if led is not None:
-            apart = apart.join(led, ["band", "node"], "left_anti")
-        place = F.row_number().over(Window.partitionBy("band").orderBy(F.xxhash64("node", "band"), "node"))
-        heads = staged(apart.withColumn("place", place).where(F.col("place") <= p.leaders).drop("place"), "heads")
-        if heads.isEmpty():
-            break
-        against = heads.withColumnsRenamed({"node": "u", "root": "root_u"}).join(rooted, "band")
-        search.compare(against.where("root_u <> root").select("u", F.col("node").alias("v")))
-        done = heads.select("band", "node")
-        led = done if led is None else led.unionByName(done)
+    texts = staged(base.join(candidates, F.col("doc_id") == F.col("node")).select("node", "text"), "candidate_texts")
+
+    # The likeliest leader of each member first; what that joins up need not be confirmed again.
+    pairs = led.where("leader <> node").select(F.col("leader").alias("u"), F.col("node").alias("v"))
+    pairs = _candidates_of(pairs, sketches, p)
+    first = staged(pairs.groupBy("v").agg(F.max_by("u", "likely").alias("u")), "first")
+    none = docs.sparkSession.createDataFrame([], "node long, root long")
+    labels = _linked(none, first.select("u", "v"), texts, p)
+    later = between(labels, pairs.select("u", "v").join(first, ["u", "v"], "left_anti"))
+    labels = _linked(labels, staged(later.select("u", "v"), "later"), texts, p)
+    labels = joined_up(labels, _rest(led, labels, sketches, texts, p))
 
     final = sketched.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left")
-    final = final.join(search.labels, "node", "left")
+    final = final.join(labels, "node", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("root", "node", "doc_id")).otherwise(F.col("doc_id"))
     return final.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
