@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, near_dedup
+from . import exact_dedup, near_dedup, quality
+from .byte_bpe import BytePairEncoder
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,3 +48,75 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_near_dedup")
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.groups(table(spark, sf_dir, "documents"))
+
+
+def _host_sql() -> str:
+    """The verdict on hosts, rule by rule, over ``fails`` (host, n, k_<rule> summed by host)."""
+    rules = list(quality.RULES)
+    totals = ", ".join(f"sum(k_{r}) AS t_{r}, sum(CAST(k_{r} AS DOUBLE) * k_{r} / n) AS q_{r}" for r in rules)
+    shared = ", ".join(
+        f"(t_{r} + 0.5e0) / (t + 1) AS mean_{r}, "
+        f"CASE WHEN t - CAST(nn AS DOUBLE) / t - (h - 1) > 0 THEN ((q_{r} - CAST(t_{r} AS DOUBLE) * t_{r} / t)"
+        f" / ((t_{r} + 0.5e0) / (t + 1) * (1 - (t_{r} + 0.5e0) / (t + 1))) - (h - 1))"
+        f" / (t - CAST(nn AS DOUBLE) / t - (h - 1)) ELSE 0 END AS shared_{r}"
+        for r in rules
+    )
+    strength = ", ".join(f"mean_{r}, least(greatest(1 / greatest(shared_{r}, 1e-9) - 1, 1), 10000) AS s_{r}" for r in rules)
+    rate = ", ".join(f"n + s_{r} AS w_{r}, (k_{r} + mean_{r} * s_{r}) / (n + s_{r}) AS rate_{r}" for r in rules)
+    bad = " OR ".join(
+        f"rate_{r} - {quality.DEVIATIONS} * sqrt(rate_{r} * (1 - rate_{r}) / (w_{r} + 1)) > {quality.LIMIT}" for r in rules
+    )
+    return f"""
+totals AS (SELECT sum(n) AS t, sum(n * n) AS nn, count(*) AS h, {totals} FROM hosts),
+shared AS (SELECT {shared} FROM totals),
+priors AS (SELECT {strength} FROM shared),
+rates AS (SELECT host, {rate} FROM hosts, priors),
+bad AS (SELECT host FROM rates WHERE {bad})"""
+
+
+_QUALITY_SQL = rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, source AS host, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+windows AS (
+  SELECT r, i, count(*) OVER (PARTITION BY r, ws[i], ws[i + 1], ws[i + 2]) AS c
+  FROM (SELECT r, ws, unnest(range(1, len(ws) - 1)) AS i FROM texts)),
+covered AS (
+  SELECT r, count(DISTINCT p) AS n_repeat_words
+  FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM windows WHERE c > 1) GROUP BY r),
+lines AS (
+  SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM texts)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r),
+measures AS (
+  SELECT doc_id, host, CAST(len(ws) AS BIGINT) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+         coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+         coalesce(n_lines, 0) AS n_lines
+  FROM texts LEFT JOIN covered USING (r) LEFT JOIN lines USING (r)),
+hosts AS (
+  SELECT host, count(*) AS n, {", ".join(f"count(*) FILTER ({rule}) AS k_{r}" for r, rule in quality.RULES.items())}
+  FROM measures WHERE host IS NOT NULL GROUP BY host),{_host_sql()},
+verdicts AS (
+  SELECT *, ({quality.RULES["few_words"]}) OR ({quality.RULES["repeated_words"]}) AS base_failed,
+         host IS NOT NULL AND host IN (SELECT host FROM bad) AS host_failed FROM measures)
+SELECT doc_id, {", ".join(quality.MEASURES)}, base_failed, host_failed, NOT base_failed AND NOT host_failed AS kept
+FROM verdicts"""
+
+
+@query("op2_quality_rules", _QUALITY_SQL)
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(table(spark, sf_dir, "documents"))
+
+
+@query("op3_byte_bpe")
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codec = BytePairEncoder(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    docs = table(spark, sf_dir, "documents").select("doc_id", codec.encode(F.coalesce("text", F.lit(""))).alias("ids"))
+    docs = docs.withColumn("decoded", codec.decode("ids"))
+    return docs.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
