@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, near_dedup, quality
+from ..session import fresh_path
+from . import exact_dedup, mixing, near_dedup, quality, sharding, token_files, url_filter
 from .byte_bpe import BytePairEncoder
 from .common import table
 
@@ -120,3 +121,94 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op5_sharding")
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assigned(table(spark, sf_dir, "documents"))
+
+
+@query("op6_token_orc")
+def op6_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = token_files.word_ids(spark, F.col("text"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = fresh_path(spark, "tokens")
+    token_files.write_tokens(docs, path, int(spark.conf.get("spark.sql.shuffle.partitions")), ids)
+    return token_files.catalogue(spark, path)
+
+
+URL_RULES = {  # fixed values of the contract
+    "com/": "allow",
+    "example.com/en/": "block",
+    "www.example.com/en/": "allow",
+    "net/es/": "block",
+    "net/fr/": "block",
+}
+
+
+@query(
+    "op7_url_filter",
+    r"""
+WITH rests AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (
+  SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS raw, regexp_extract(rest, '^[^?#]*') AS whole FROM rests),
+urls AS (
+  SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         substr(whole, length(raw) + 1) AS path FROM parts),
+rules(h, p, v) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+                          ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+best AS (
+  SELECT page_id, host, path, arg_max(h || p, length(h || p)) AS rule, arg_max(v, length(h || p)) AS v
+  FROM urls LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+  GROUP BY page_id, host, path)
+SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM best""",
+)
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def _mix_sql(mix: mixing.Mix) -> str:
+    """Water-filling level by level, then the prefix of each leaf by one running sum."""
+    levels = list(mix.tree)
+    parts = [
+        "rows AS (SELECT doc_id, "
+        + ", ".join(f"{column} AS {level}" for level, column in mix.tree.items())
+        + r", CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS n_tokens FROM documents)",
+        f"leaves AS (SELECT {', '.join(levels)}, sum(n_tokens) AS tokens, sum(n_tokens) * {mix.epochs} AS cap FROM rows GROUP BY ALL)",
+        f"level_0 AS (SELECT 0 AS root, coalesce(sum(tokens), 0) * {mix.percent} // 100 AS budget FROM leaves)",
+    ]
+    for i, level in enumerate(levels, 1):
+        keys, known = ["root", *levels[:i]], ["root", *levels[: i - 1]]
+        weights = "".join(f" WHEN n.{level} = '{v}' THEN {w}" for v, w in mix.weights.get(level, {}).items())
+        match = " AND ".join(f"n.{key} IS NOT DISTINCT FROM p.{key}" for key in known)
+        parts += [
+            f"nodes_{i} AS (SELECT n.*, p.budget, {f'CASE{weights} ELSE 1 END' if weights else '1'} AS w FROM "
+            f"(SELECT 0 AS root, {', '.join(levels[:i])}, sum(cap) AS cap FROM leaves GROUP BY ALL) n JOIN level_{i - 1} p ON {match})",
+            f"sums_{i} AS (SELECT *, sum(w) OVER (PARTITION BY {', '.join(known)}) AS all_w, "
+            f"coalesce(sum(w) OVER b, 0) AS w_before, coalesce(sum(cap) OVER b, 0) AS cap_before FROM nodes_{i} WINDOW b AS "
+            f"(PARTITION BY {', '.join(known)} ORDER BY cap / w, {', '.join(keys)} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))",
+            f"out_{i} AS (SELECT *, cap * (all_w - w_before) <= w * (budget - cap_before) AS full_up FROM sums_{i})",
+            f"level_{i} AS (SELECT {', '.join(keys)}, CASE WHEN full_up THEN cap ELSE ((budget - coalesce(sum(cap) FILTER (full_up) "
+            f"OVER p, 0)) * w) // greatest(all_w - coalesce(sum(w) FILTER (full_up) OVER p, 0), 1) END AS budget "
+            f"FROM out_{i} WINDOW p AS (PARTITION BY {', '.join(known)}))",
+        ]
+    same = " AND ".join(f"a.{level} IS NOT DISTINCT FROM b.{level}" for level in levels)
+    parts += [
+        "shares AS (SELECT a.*, CASE WHEN a.tokens = 0 THEN 1 ELSE b.budget // a.tokens END AS full_epochs, "
+        f"CASE WHEN a.tokens = 0 THEN 0 ELSE b.budget % a.tokens END AS rest FROM leaves a JOIN level_{len(levels)} b ON {same})",
+        f"ends AS (SELECT a.*, b.full_epochs, b.rest, sum(a.n_tokens) OVER (PARTITION BY {', '.join('a.' + c for c in levels)} "
+        f"ORDER BY md5('{mix.seed}:' || b.full_epochs::BIGINT || ':' || a.doc_id), a.n_tokens ROWS UNBOUNDED PRECEDING) AS e "
+        f"FROM rows a JOIN shares b ON {same})",
+    ]
+    return (
+        "WITH " + ",\n".join(parts) + f"""
+SELECT doc_id, {", ".join(levels)}, n_tokens,
+       CAST(unnest(range(CAST(full_epochs + CASE WHEN rest > 0 AND e <= rest THEN 1 ELSE 0 END AS BIGINT))) AS INTEGER) AS epoch
+FROM ends"""
+    )
+
+
+@query("op8_mixing", _mix_sql(mixing.DOCUMENTS))
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.drawn(table(spark, sf_dir, "documents"))
