@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_path
-from . import exact_dedup, mixing, near_dedup, quality, sharding, token_files, url_filter
+from . import exact_dedup, mixing, near_dedup, pii, quality, sharding, token_files, url_filter
 from .byte_bpe import BytePairEncoder
 from .common import table
 
@@ -212,3 +212,11 @@ FROM ends"""
 @query("op8_mixing", _mix_sql(mixing.DOCUMENTS))
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.drawn(table(spark, sf_dir, "documents"))
+
+
+@query("op10_pii")
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = pii.found(docs, pii.train(docs))
+    digest = F.sha2(F.col("base"), 256).alias("base_sha256")
+    return rows.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", digest, "spans")
