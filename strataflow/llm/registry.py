@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_path
-from . import exact_dedup, mixing, near_dedup, pii, quality, sharding, token_files, url_filter
+from . import chat, exact_dedup, mixing, near_dedup, pii, quality, sharding, token_files, url_filter
 from .byte_bpe import BytePairEncoder
 from .common import table
 
@@ -220,3 +220,34 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = pii.found(docs, pii.train(docs))
     digest = F.sha2(F.col("base"), 256).alias("base_sha256")
     return rows.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", digest, "spans")
+
+
+@query(
+    "op4_chat_format",
+    r"""
+WITH ask AS (SELECT conv_id, turn + 1 AS turn, min(substr(text, 1, 60)) AS question FROM conversations GROUP BY ALL),
+turns AS (
+  SELECT c.*, a.question, e.turn IS NOT NULL AS earlier, 'call_' || c.conv_id || '_' || c.turn AS call_id
+  FROM conversations c LEFT JOIN ask a USING (conv_id, turn)
+       LEFT JOIN (SELECT DISTINCT conv_id, turn + 2 AS turn FROM conversations WHERE role = 'assistant') e USING (conv_id, turn)
+  WHERE role = 'assistant'),
+lines AS (
+  SELECT conv_id, turn, 0 AS depth, 'message' AS kind, role, NULL AS call_id, CAST(NULL AS BOOLEAN) AS linked,
+         CAST(NULL AS BOOLEAN) AS valid, '{"content":' || to_json(text) || ',"role":' || to_json(role) || '}' AS line
+  FROM conversations WHERE role <> 'assistant'
+  UNION ALL
+  SELECT conv_id, turn, 0, 'call', role, call_id, true, question IS NOT NULL,
+         '{"role":"assistant","tool_calls":[{"arguments":{'
+         || CASE WHEN earlier THEN '"after":{"$ref":"call_' || conv_id || '_' || (turn - 2) || '"},' ELSE '' END
+         || '"limit":' || length(text) || CASE WHEN question IS NULL THEN '' ELSE ',"question":' || to_json(question) END
+         || '},"id":"' || call_id || '","name":"answer"}]}'
+  FROM turns
+  UNION ALL
+  SELECT conv_id, turn, 1, 'result', 'tool', call_id, true, NULL,
+         '{"content":' || to_json(text) || ',"role":"tool","tool_call_id":"' || call_id || '"}'
+  FROM turns)
+SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, depth, kind, role) - 1 AS position,
+       role, kind, call_id, linked, valid, line FROM lines""",
+)
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.formatted(chat.with_calls(table(spark, sf_dir, "conversations")), chat.ANSWER)
