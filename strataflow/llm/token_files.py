@@ -6,8 +6,11 @@ filter on the document id, so a reader of some documents skips stripes, and stri
 
 from __future__ import annotations
 
+import os
 import zlib
+from array import array
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -17,29 +20,66 @@ from pyspark.sql import functions as F
 
 from .common import running
 
-KEPT = 500_000  # words a worker remembers before it forgets them all
+KEPT = 1_000_000  # words a worker remembers before it forgets them all
 STRIPE = 64 << 20  # bytes
 INDEX_STRIDE = 5_000  # rows between entries of the row index
 
 
+def _byte_letters() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary: printable ones for themselves."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = iter(range(0x100, 0x200))
+    return [chr(b) if b in own else chr(next(others)) for b in range(256)]
+
+
 class _Words(dict):
-    """Ids of words by a tokenizer that treats every stretch between white space by itself."""
+    """Ids of words by a tokenizer that treats every stretch between white space by itself.
+
+    A word is parted from the punctuation behind its last letter, as the tokenizer does. Words of plain
+    Latin letters go to the merges directly, in lower case; all others pass through the whole tokenizer.
+    """
 
     def __init__(self, tokenizer):
         super().__init__()
-        self.tokenizer = tokenizer
+        self.tokenizer, self.model, self.cores = tokenizer, tokenizer.model, {}
+        self.letters = str.maketrans({chr(b): c for b, c in enumerate(_byte_letters())})
 
     def ids(self, text: str) -> bytes:
-        words = text.encode("utf-8").split()
-        missing = list({word for word in words if word not in self})
-        if missing:
-            if len(self) + len(missing) > KEPT:
-                self.clear()
-                missing = list(set(words))
-            found = self.tokenizer.encode_batch([word.decode("utf-8") for word in missing], add_special_tokens=False)
-            for word, encoded in zip(missing, found, strict=True):
-                self[word] = np.array(encoded.ids, dtype="<i4").tobytes()
-        return b"".join(map(self.__getitem__, words))
+        return b"".join(map(self.__getitem__, text.encode("utf-8").split()))
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= KEPT:
+            self.clear()
+            self.cores.clear()
+        core = word.rstrip(b".,;:!?")
+        if core and core != word and core.decode("utf-8")[-1].isalpha():
+            found = self.core(core) + self.core(word[len(core) :])
+        else:
+            found = self.core(word)
+        self[word] = found
+        return found
+
+    def core(self, word: bytes) -> bytes:
+        plain = word.lower() if word.isascii() else word
+        found = self.cores.get(plain)
+        if found is None:
+            if plain.isalpha():  # of ASCII letters
+                ids = [token.id for token in self.model.tokenize(plain.decode("ascii"))]
+            elif (low := self._latin(text := plain.decode("utf-8"))) is not None:
+                raw = low.encode("utf-8").decode("latin-1")
+                ids = [token.id for token in self.model.tokenize(raw.translate(self.letters))]
+            else:
+                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            found = self.cores[plain] = array("i", ids).tobytes()
+        return found
+
+    @staticmethod
+    def _latin(text: str) -> str | None:
+        """``text`` in lower case if it is and stays plain Latin letters."""
+        if text.isalpha() and max(text) < "\u0250" and is_normalized("NFC", text):
+            low = "".join(map(str.lower, text))
+            return low if low.isalpha() else None
+        return None
 
 
 _loaded: dict[int, _Words] = {}
@@ -48,8 +88,6 @@ _loaded: dict[int, _Words] = {}
 def _words(file: Broadcast) -> _Words:
     key = hash(file.value)
     if key not in _loaded:
-        import os
-
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
