@@ -10,7 +10,7 @@ import os
 import zlib
 from array import array
 from collections.abc import Iterator
-from unicodedata import is_normalized
+from unicodedata import is_normalized, normalize
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +18,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import staged
 from .common import running
 
 KEPT = 1_000_000  # words a worker remembers before it forgets them all
@@ -52,7 +53,7 @@ class _Words(dict):
             self.clear()
             self.cores.clear()
         core = word.rstrip(b".,;:!?")
-        if core and core != word and core.decode("utf-8")[-1].isalpha():
+        if core and core != word and normalize("NFC", core.decode("utf-8"))[-1].lower().isalpha():
             found = self.core(core) + self.core(word[len(core) :])
         else:
             found = self.core(word)
@@ -147,7 +148,7 @@ def read_tokens(spark: SparkSession, path: str, only: list[int] | None = None) -
 
 def _crc32_of(lists: pa.Array) -> pa.Array:
     flat = lists.flatten().to_numpy().astype("<u4")
-    ends = np.append(0, np.cumsum([len(x) for x in lists]))
+    ends = np.append(0, np.cumsum(lists.value_lengths().to_numpy())).tolist()
     return pa.array([zlib.crc32(flat[a:b].tobytes()) for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.int64())
 
 
@@ -158,4 +159,5 @@ def catalogue(spark: SparkSession, path: str) -> DataFrame:
     """
     crc32 = F.arrow_udf(_crc32_of, "bigint")
     rows = read_tokens(spark, path).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), crc32("ids").alias("ids_crc32"))
+    rows = staged(rows, "catalogue")  # so that ranging doesn't read the ids again
     return running(rows, ["doc_id", "ids_crc32"], {"start": "n_tokens"}).select("doc_id", "start", "n_tokens", "ids_crc32")
