@@ -9,6 +9,7 @@ never tried again, which keeps the work linear. Which neighbours are compatible
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
@@ -19,7 +20,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-KEPT = 1_000_000  # pieces, and pairs of tokens, remembered by a worker before it forgets them all
+KEPT = 700_000  # pieces, and pairs of tokens, remembered by a worker before it forgets them all
 LONG = 1 << 20  # characters from which a text is split piece by piece
 
 
@@ -36,7 +37,7 @@ class Codec:
         for token, rank in self.rank.items():
             self.trie.add_word(token, rank)
         self.shorter = {rank: self._longest(token, len(token) - 1) for token, rank in self.rank.items()}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.pieces = _Pieces(self)
         self.table = [b""] * (max(self.token) + 1)
         for rank, token in self.token.items():
@@ -61,38 +62,49 @@ class Codec:
         return [self.rank[part] for part in parts]
 
     def compatible(self, left: int, right: int) -> bool:
-        known = self.pairs.get((left, right))
-        if known is None:
-            if len(self.pairs) >= KEPT:
-                self.pairs.clear()
-            known = self.merge(self.token[left] + self.token[right]) == [left, right]
-            self.pairs[left, right] = known
+        """Whether the merges leave two neighbours as they are."""
+        if len(self.pairs) >= KEPT:
+            self.pairs.clear()
+        known = self.merge(self.token[left] + self.token[right]) == [left, right]
+        self.pairs[left << 32 | right] = known
         return known
 
     def encode_piece(self, piece: str) -> list[int]:
         """Token ids of one match of the pattern."""
         text = piece.encode("utf-8").decode("latin-1")
-        if text in self.rank:
-            return [self.rank[text]]
+        rank, token, shorter, known = self.rank, self.token, self.shorter, self.pairs.get
+        if text in rank:
+            return [rank[text]]
         found: list[int] = []
-        at, dead = 0, bytearray(len(text) + 1)
-        token = self._longest(text[: self.longest_token], self.longest_token)
-        while at < len(text):
-            end = at + len(self.token[token])
-            if not dead[end] and (not found or self.compatible(found[-1], token)):
-                found.append(token)
-                at = end
-                token = self._longest(text[at : at + self.longest_token], self.longest_token) if at < len(text) else -1
-                continue
-            token = self.shorter[token]
-            while token < 0:
-                dead[at] = 1
-                at -= len(self.token[found[-1]])
-                token = self.shorter[found.pop()]
+        last, at, size, most = -1, 0, len(text), self.longest_token
+        dead = bytearray(size + 1)
+        prefix = self.trie.longest_prefix
+        while at < size:
+            rest = text[at : at + most]
+            n = prefix(rest)
+            while (part := rest[:n]) not in rank:
+                n -= 1
+            following = rank[part]
+            while True:
+                end = at + n
+                if not dead[end]:
+                    if last < 0 or (fits := known(last << 32 | following)):
+                        break
+                    if fits is None and self.compatible(last, following):
+                        break
+                following = shorter[following]
+                while following < 0:
+                    dead[at] = 1
+                    at -= len(token[last])
+                    following = shorter[found.pop()]
+                    last = found[-1] if found else -1
+                n = len(token[following])
+            found.append(following)
+            last, at = following, end
         return found
 
     def encode(self, text: str) -> bytes:
-        """Ids as little-endian 32-bit integers."""
+        """Ids as 32-bit integers."""
         if len(text) < LONG:
             return b"".join(map(self.pieces.__getitem__, self.split.findall(text)))
         return b"".join(self.pieces[found.group()] for found in self.split.finditer(text))
@@ -111,7 +123,7 @@ class _Pieces(dict):
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= KEPT:
             self.clear()
-        ids = np.array(self.codec.encode_piece(piece), dtype="<i4").tobytes()
+        ids = array("i", self.codec.encode_piece(piece)).tobytes()
         if len(piece) < 64:
             self[piece] = ids
         return ids
@@ -148,7 +160,7 @@ class BytePairEncoder:
             for texts in batches:
                 parts = [codec.encode(text) if text else b"" for text in texts.to_pylist()]
                 ends = np.cumsum([0] + [len(part) // 4 for part in parts])
-                flat = np.frombuffer(b"".join(parts), dtype="<i4")
+                flat = np.frombuffer(b"".join(parts), dtype=np.int32)
                 yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
 
         return encode(text)
@@ -164,14 +176,8 @@ class BytePairEncoder:
                 flat = lists.flatten().to_numpy()
                 if (codec.lengths[flat] == 0).any():
                     raise ValueError("an id has no token")
-                whole = memoryview(codec.decode(flat))
-                sizes = np.append(0, np.cumsum(codec.lengths[flat]))
-                n = np.array([len(x) if x is not None else 0 for x in lists], dtype=np.int64)
-                at = sizes[np.append(0, np.cumsum(n))]
-                valid = lists.is_valid().to_pylist()
-                yield pa.array(
-                    [bytes(whole[a:b]) if ok else None for a, b, ok in zip(at[:-1], at[1:], valid, strict=True)],
-                    pa.binary(),
-                )
+                ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy())
+                rows = zip(np.append(0, ends[:-1]).tolist(), ends.tolist(), lists.is_valid().to_pylist(), strict=True)
+                yield pa.array([codec.decode(flat[a:b]) if valid else None for a, b, valid in rows], pa.binary())
 
         return decode(ids)
