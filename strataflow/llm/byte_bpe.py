@@ -20,17 +20,31 @@ from pyspark import Broadcast
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-KEPT = 700_000  # pieces, and pairs of tokens, remembered by a worker before it forgets them all
+KEPT = 400_000  # pieces, and pairs of tokens, remembered by a worker before it forgets them all
 LONG = 1 << 20  # characters from which a text is split piece by piece
+ROWS = 500  # of a batch that are worked on at a time
 
 
-class Codec:
-    """Encodes and decodes by a file of ranks, one base64 token and its rank on a line."""
+class Vocabulary:
+    """A file of ranks, one base64 token and its rank on a line; enough to decode."""
+
+    def __init__(self, ranks: bytes):
+        pairs = [line.split() for line in ranks.splitlines() if line]
+        tokens = {int(rank): base64.b64decode(token) for token, rank in pairs}
+        self.table = [tokens.get(rank, b"") for rank in range(max(tokens) + 1)]
+        self.lengths = np.array([len(x) for x in self.table], dtype=np.int64)
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        return b"".join(map(self.table.__getitem__, ids.tolist()))
+
+
+class Codec(Vocabulary):
+    """Encodes, too."""
 
     def __init__(self, ranks: bytes, pattern: str):
-        pairs = (line.split() for line in ranks.splitlines() if line)
-        self.rank = {base64.b64decode(token).decode("latin-1"): int(rank) for token, rank in pairs}
-        self.token = {rank: token for token, rank in self.rank.items()}
+        super().__init__(ranks)
+        self.token = [token.decode("latin-1") for token in self.table]
+        self.rank = {token: rank for rank, token in enumerate(self.token) if token}
         self.split = regex.compile(pattern)
         self.longest_token = max(map(len, self.rank))
         self.trie = ahocorasick.Automaton()
@@ -39,10 +53,6 @@ class Codec:
         self.shorter = {rank: self._longest(token, len(token) - 1) for token, rank in self.rank.items()}
         self.pairs: dict[int, bool] = {}
         self.pieces = _Pieces(self)
-        self.table = [b""] * (max(self.token) + 1)
-        for rank, token in self.token.items():
-            self.table[rank] = token.encode("latin-1")
-        self.lengths = np.array([len(x) for x in self.table], dtype=np.int64)
 
     def _longest(self, part: str, most: int) -> int:
         """The longest token that is a prefix of ``part`` with at most ``most`` bytes; -1 if there is none."""
@@ -109,9 +119,6 @@ class Codec:
             return b"".join(map(self.pieces.__getitem__, self.split.findall(text)))
         return b"".join(self.pieces[found.group()] for found in self.split.finditer(text))
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.table.__getitem__, ids.tolist()))
-
 
 class _Pieces(dict):
     """Encoded pieces, each made when it is first asked for."""
@@ -129,15 +136,21 @@ class _Pieces(dict):
         return ids
 
 
-_codecs: dict[tuple[int, str], Codec] = {}
+_made: dict[tuple[int, str], Vocabulary] = {}
 
 
-def _codec(ranks: Broadcast, pattern: str) -> Codec:
-    """The codec of a worker, kept from task to task."""
+def _once(ranks: Broadcast, pattern: str = "") -> Vocabulary:
+    """What a worker makes of the file and keeps from task to task; a codec where there is a pattern."""
     key = (hash(ranks.value), pattern)
-    if key not in _codecs:
-        _codecs[key] = Codec(ranks.value, pattern)
-    return _codecs[key]
+    if key not in _made:
+        _made[key] = Codec(ranks.value, pattern) if pattern else Vocabulary(ranks.value)
+    return _made[key]
+
+
+def _slices(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Batches in parts, which bounds the lists and ids that are in memory at once."""
+    for batch in batches:
+        yield from (batch.slice(at, ROWS) for at in range(0, max(len(batch), 1), ROWS))
 
 
 class BytePairEncoder:
@@ -156,8 +169,8 @@ class BytePairEncoder:
 
         @F.arrow_udf("array<int>")
         def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            codec = _codec(ranks, pattern)
-            for texts in batches:
+            codec = _once(ranks, pattern)
+            for texts in _slices(batches):
                 parts = [codec.encode(text) if text else b"" for text in texts.to_pylist()]
                 ends = np.cumsum([0] + [len(part) // 4 for part in parts])
                 flat = np.frombuffer(b"".join(parts), dtype=np.int32)
@@ -167,12 +180,12 @@ class BytePairEncoder:
 
     def decode(self, ids: Column) -> Column:
         """Bytes of an ``array<int>`` of ids; null stays null. An id that no token has is an error."""
-        ranks, pattern = self.ranks, self.pattern
+        ranks = self.ranks
 
         @F.arrow_udf("binary")
         def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            codec = _codec(ranks, pattern)
-            for lists in batches:
+            codec = _once(ranks)
+            for lists in _slices(batches):
                 flat = lists.flatten().to_numpy()
                 if (codec.lengths[flat] == 0).any():
                     raise ValueError("an id has no token")
