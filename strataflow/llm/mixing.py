@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..session import staged
 from .common import WORD
 
-SLICE_ROWS = 100_000
+SLICE_ROWS = 5_000
 
 
 @dataclass(frozen=True)
