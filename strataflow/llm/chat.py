@@ -135,7 +135,10 @@ def formatted(messages: DataFrame, schemas: Schemas) -> DataFrame:
     keyed, needs = linked(messages.select(*wanted))
     answered = keyed.where("kind = 'result' AND call_id IS NOT NULL").select("call_id").distinct().withColumn("answered", F.lit(True))
     called = keyed.where("kind = 'call' AND call_id IS NOT NULL").select("call_id").distinct().withColumn("called", F.lit(True))
-    rows = keyed.join(ordered(keyed, needs), "key").join(answered, "call_id", "left").join(called, "call_id", "left")
+    # Messages without an id take no part in the join by id, where they would all meet in one task.
+    named = keyed.where("call_id IS NOT NULL").select("key", "call_id")
+    named = named.join(answered, "call_id", "left").join(called, "call_id", "left").drop("call_id")
+    rows = keyed.join(ordered(keyed, needs), "key").join(named, "key", "left")
     found = F.when(F.col("kind") == "call", F.coalesce("answered", F.lit(False)))
     found = F.when(F.col("kind") == "result", F.coalesce("called", F.lit(False))).otherwise(found)
     valid = F.when(F.col("kind") == "call", checked(F.col("name"), F.col("arguments"), schemas))
