@@ -113,6 +113,11 @@ class Codec(Vocabulary):
             last, at = following, end
         return found
 
+    def forget(self) -> None:
+        self.pieces.clear()
+        self.pairs.clear()
+        pa.default_memory_pool().release_unused()
+
     def encode(self, text: str) -> bytes:
         """Ids as 32-bit integers."""
         if len(text) < LONG:
@@ -175,6 +180,7 @@ class BytePairEncoder:
                 ends = np.cumsum([0] + [len(part) // 4 for part in parts])
                 flat = np.frombuffer(b"".join(parts), dtype=np.int32)
                 yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+            codec.forget()  # the worker may wait for other work, with others beside it
 
         return encode(text)
 

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 from hashlib import blake2b
 
 import numpy as np
@@ -40,7 +41,7 @@ class Params:
     rows: int = 5  # registers in a band
     base: float = 1.01  # of the exponential spacing
     doubt: float = 30.0  # twice the log likelihood ratio beyond which a pair is not confirmed
-    part: int = 200_000  # shingles of a part of a cluster that one task holds in full
+    part: int = 100_000  # shingles of a part of a cluster that one task holds in full
 
     @property
     def registers(self) -> int:
@@ -50,10 +51,14 @@ class Params:
 BLOCK = 2048  # shingles hashed at a time
 
 
+@cache
+def _factors(seed: int, n: int) -> np.ndarray:
+    return (stream(seed, n).astype(np.uint32) | np.uint32(1))[:, None]
+
+
 def registers(sets: np.ndarray, p: Params) -> np.ndarray:
     """Registers of a set of 64-bit shingle hashes."""
-    a = (stream(101, p.registers).astype(np.uint32) | np.uint32(1))[:, None]
-    b = (stream(102, p.registers).astype(np.uint32) | np.uint32(1))[:, None]
+    a, b = _factors(101, p.registers), _factors(102, p.registers)
     low, high = sets.astype(np.uint32), (sets >> np.uint64(32)).astype(np.uint32)
     least = np.full(p.registers, 0xFFFFFFFF, dtype=np.uint32)
     for i in range(0, len(sets), BLOCK):
@@ -119,6 +124,8 @@ def _sketch_udf(p: Params):
                 [pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(drawn, pa.binary())],
                 ["n_shingles", "digest", "registers"],
             )
+            del texts
+        pa.default_memory_pool().release_unused()
 
     return sketch
 
