@@ -20,6 +20,8 @@ from pyspark import Broadcast
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from .common import text_batches
+
 KEPT = 400_000  # pieces, and pairs of tokens, remembered by a worker before it forgets them all
 LONG = 1 << 20  # characters from which a text is split piece by piece
 ROWS = 500  # of a batch that are worked on at a time
@@ -165,6 +167,7 @@ class BytePairEncoder:
     """
 
     def __init__(self, spark: SparkSession, path: str, pattern: str):
+        text_batches(spark)
         with open(path, "rb") as file:
             self.ranks, self.pattern = spark.sparkContext.broadcast(file.read()), pattern
 

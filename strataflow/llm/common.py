@@ -19,6 +19,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def text_batches(spark: SparkSession) -> None:
+    """Sizes batches for rows that are whole texts, unless the cluster has its own setting.
+
+    Ten thousand documents, the default, are tens of MB outside the heap, on both sides of every worker.
+    """
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not spark.sparkContext.getConf().contains(setting):
+        spark.conf.set(setting, "1000")
+
+
 def unused(columns: list[str], wanted: str) -> str:
     """``wanted``, with underscores added until no column has that name (case does not tell names apart)."""
     taken = {column.lower() for column in columns}

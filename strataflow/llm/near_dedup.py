@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import staged
-from .common import without_ids
+from .common import text_batches, without_ids
 from .components import between, joined_up
 from .words import mix, shingles, stream, word_hashes
 
@@ -259,6 +259,7 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p: P
     an id count as one document. Rows without an id take the component of their class, else none, and
     are kept only in the latter case. An empty table gives no rows. Other columns are not read.
     """
+    text_batches(docs.sparkSession)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     sketched = base.select("doc_id", _sketch_udf(p)("text").alias("s")).select("doc_id", "s.*")
     sketched = staged(sketched, "sketches")

@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import text_batches
+
 
 KINDS = ["email", "ip", "card", "phone"]
 
@@ -239,6 +241,8 @@ def _marginals(n: int, pairs: np.ndarray, scores: np.ndarray) -> np.ndarray:
 def sample(docs: DataFrame, text_col: str, rows: int, stretches: int) -> list[str]:
     """At most ``stretches`` stretches of up to 160 characters, from about ``rows`` texts picked by hash."""
 
+    text_batches(docs.sparkSession)
+
     @F.arrow_udf("array<string>")
     def found(texts: pa.Array) -> pa.Array:
         out = []
@@ -288,6 +292,8 @@ def found(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str =
     an empty table gives no rows. Other columns are not read.
     """
 
+    text_batches(docs.sparkSession)
+
     @F.arrow_udf("struct<n_email:bigint,n_ip:bigint,n_card:bigint,n_phone:bigint,base:string,spans:string>")
     def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
@@ -309,6 +315,8 @@ def found(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str =
 def redacted(docs: DataFrame, field: Field, text_col: str = "text") -> DataFrame:
     """``docs`` with every span replaced by its kind in angle brackets."""
 
+    text_batches(docs.sparkSession)
+
     @F.arrow_udf("string")
     def redact(texts: pa.Array) -> pa.Array:
         out = []

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ..session import staged
-from .common import unused
+from .common import text_batches, unused
 
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
 
@@ -125,6 +125,7 @@ def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host
     A null text has no words and fails. A null host is no host and is not judged; an empty one is.
     Repeated rows count each. An empty table gives no rows. Other columns are not read.
     """
+    text_batches(docs.sparkSession)
     rows = docs.select(
         F.col(id_col).alias("doc_id"), F.col(host_col).cast("string").alias("host"), measure(F.col(text_col)).alias("m")
     )
@@ -141,6 +142,7 @@ def quality_filter(docs: DataFrame, text_col: str = "text", host_col: str = "sou
 
     Texts are measured twice, once for the hosts and once for the rows, rather than moved.
     """
+    text_batches(docs.sparkSession)
     m = unused(docs.columns, "measures")
     bad = staged(bad_hosts(docs.select(F.col(host_col).cast("string").alias("host"), measure(F.col(text_col)).alias("m")).select("host", "m.*")), "bad_hosts")
     fine = docs.withColumn(m, measure(F.col(text_col)))

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import staged
-from .common import running
+from .common import running, text_batches
 
 KEPT = 1_000_000  # words a worker remembers before it forgets them all
 STRIPE = 64 << 20  # bytes
@@ -105,6 +105,7 @@ def word_ids(spark: SparkSession, text: Column, path: str, end_id: int) -> Colum
     can be encoded once and remembered. Special tokens in a text are plain text. The file is a vocabulary
     of a few MB and is broadcast.
     """
+    text_batches(spark)
     with open(path, encoding="utf-8") as opened:
         file = spark.sparkContext.broadcast(opened.read())
     end = np.array([end_id], dtype="<i4").tobytes()
