@@ -150,4 +150,6 @@ def mixed(docs: DataFrame, mix: Mix = DOCUMENTS, id_col: str = "doc_id", text_co
     """
     often = drawn(docs, mix, id_col, text_col).where("doc_id IS NOT NULL").select("doc_id", "epoch").distinct()
     chosen = staged(often, "drawn").withColumnRenamed("doc_id", id_col)
-    return docs.join(chosen.select(id_col, F.col("epoch").alias("_epoch")), id_col).select(*[F.col(f"`{c}`") for c in docs.columns])
+    # What is drawn grows with the corpus: it is never a side to broadcast.
+    chosen = chosen.select(id_col, F.col("epoch").alias("_epoch")).hint("merge")
+    return docs.join(chosen, id_col).select(*[F.col(f"`{c}`") for c in docs.columns])
