@@ -76,8 +76,10 @@ def ranged(rows: DataFrame) -> DataFrame:
     key. The splitters are a few for each 250,000 rows: 1 MB on the driver for 10^10 rows.
     """
     total = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size")).first()
+    if not total["n"]:
+        return rows.withColumn("piece", F.lit(0))
     parts = max(16, -(-total["n"] // RANGE_ROWS))
-    splitters = _quantiles(_sampled(rows, total["size"] or 1, parts * SAMPLES, 0), parts)
+    splitters = _quantiles(_sampled(rows, total["size"], parts * SAMPLES, 0), parts)
     for turn in range(1, ROUNDS):
         placed = rows.withColumn("piece", _range_of(splitters)("k1", "k2")) if len(splitters) else rows.withColumn("piece", F.lit(0))
         counts = placed.groupBy("piece").agg(
