@@ -7,12 +7,12 @@ from __future__ import annotations
 
 import argparse
 import json
-from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import functions as fn
+from .operators.dedup import upsert
 from .operators.quality import observed
 from .plans import analytics, bronze, gold, silver
 from .schemas import (
@@ -29,7 +29,7 @@ from .schemas import (
     require_contract,
 )
 from .session import session
-from .sinks import merge_into, overwrite, overwrite_days, overwrite_partitioned, replace_table
+from .sinks import add_to_days, merge_into, overwrite, overwrite_partitioned, replace_table
 from .sources import csv_delivery, json_lines, parquet, with_delivery_date
 from .streaming import ingest_new_files
 
@@ -54,7 +54,7 @@ def customers_to_bronze(spark: SparkSession, raw: str, bronze_path: str) -> Coun
 def sales_to_silver(
     spark: SparkSession, bronze_path: str, silver_path: str, profile: str = "strict", only_days: bool = False
 ) -> Counts:
-    """With ``only_days`` the days found in the input are replaced and all others kept."""
+    """With ``only_days`` the rows that the table lacks are added to their days; nothing is removed."""
     typed, seen = observed(
         silver.sales_typed(parquet(spark, bronze_path), profile),
         "typed",
@@ -66,8 +66,10 @@ def sales_to_silver(
     stamped = kept.withColumn("processed_at", F.current_timestamp())
     if profile == "strict":
         stamped = require_contract(stamped, SILVER_SALES)
-    write = overwrite_days if only_days else overwrite_partitioned
-    write(stamped, silver_path, "purchase_date")
+    if only_days:
+        add_to_days(stamped, silver_path, "purchase_date", stamps=("processed_at",))
+    else:
+        overwrite_partitioned(stamped, silver_path, "purchase_date")
     causes = {name: value for name, value in seen.get.items() if name != "rows"}
     return _dropped(seen.get["rows"], rows_out.get["rows"]) | causes
 
@@ -82,19 +84,31 @@ def customers_to_silver(spark: SparkSession, bronze_path: str, silver_path: str)
 
 
 def merge_customers(
-    spark: SparkSession, bronze_path: str, table: str, location: str, since: str | None = None
+    spark: SparkSession,
+    bronze_path: str,
+    table: str,
+    location: str,
+    since: str | None = None,
+    old: str | None = None,
 ) -> Counts:
     """Bring a silver customer table up to date with the dumps delivered from ``since`` on.
 
     Reads the new dumps and the table instead of every dump ever delivered. ``location`` is a new
-    folder for the merged rows.
+    folder for the merged rows. ``old`` names the folder of the snapshot to merge into, for processes
+    whose catalog doesn't know the table. Without either, only all dumps make a whole table, so
+    ``since`` is refused.
     """
+    known = old is None and spark.catalog.tableExists(table)
+    if since and not old and not known:
+        raise ValueError(f"no table {table} to merge into; give the old snapshot, or all deliveries")
     dumps = parquet(spark, bronze_path)
     if since:
         dumps = dumps.where(F.col("delivery_date") >= F.lit(since).cast("date"))
     newest, counts = observed(require_contract(silver.customers_silver(dumps), SILVER_CUSTOMERS), "newest")
-    if spark.catalog.tableExists(table):
+    if known:
         merge_into(newest, table, "client_id", location)
+    elif old:
+        replace_table(upsert(parquet(spark, old), newest, "client_id"), table, SILVER_CUSTOMERS, location)
     else:
         replace_table(newest, table, SILVER_CUSTOMERS, location)
     return dict(counts.get)
@@ -115,7 +129,7 @@ def customers_to_gold(
     location: str | None = None,
     as_of: str | None = None,
 ) -> Counts:
-    day = F.lit(as_of or date.today().isoformat()).cast("date")
+    day = F.lit(as_of).cast("date") if as_of else F.current_date()
     rows = gold.enrich_customers(parquet(spark, customers), parquet(spark, profiles), as_of=day)
     kept, counts = observed(rows, "gold", without_birth_date=F.col("birth_date").isNull())
     replace_table(kept, table, GOLD_CUSTOMERS, location)
@@ -147,6 +161,11 @@ def top_state_report(spark: SparkSession, sales: str, table: str, k: int = 1) ->
     return analytics.top_state(parquet(spark, sales), spark.table(table), k=k)
 
 
+def top_state(spark: SparkSession, sales: str, table: str, k: int = 1) -> dict:
+    """The last question of the chain, as a job: the first ``k`` states with their counts."""
+    return {"top": [row.asDict() for row in top_state_report(spark, sales, table, k).collect()]}
+
+
 def _dropped(rows_in: int, rows_out: int) -> Counts:
     return {"rows_in": rows_in, "rows_out": rows_out, "rows_dropped": rows_in - rows_out}
 
@@ -170,6 +189,7 @@ JOBS = {
     "profiles-silver": (profiles_to_silver, ("raw", "silver")),
     "customers-gold": (customers_to_gold, ("customers", "profiles", "table")),
     "sales-gold": (sales_to_gold, ("sales", "customers", "raw-profiles", "gold")),
+    "top-state": (top_state, ("sales", "table")),
     "sales-ingest": (ingest_sales, ("raw", "bronze", "checkpoint")),
     "customers-ingest": (ingest_customers, ("raw", "bronze", "checkpoint")),
 }
@@ -187,13 +207,15 @@ def main(argv: list[str] | None = None) -> Counts:
     )
     commands.choices["sales-silver"].add_argument("--only-days", action="store_true")
     commands.choices["customers-merge"].add_argument("--since")
+    commands.choices["customers-merge"].add_argument("--old")
+    commands.choices["top-state"].add_argument("--k", type=int, default=1)
     commands.choices["customers-gold"].add_argument("--location")
     commands.choices["customers-gold"].add_argument("--as-of")
     given = vars(parser.parse_args(argv))
     run, paths = JOBS[given.pop("job")]
     arguments = [given.pop(path.replace("-", "_")) for path in paths]
     counts = run(session("strataflow"), *arguments, **given)
-    print(json.dumps(counts))
+    print(json.dumps(counts, default=str))
     return counts
 
 

@@ -9,21 +9,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LOOKUP_ROWS = 50_000
-LOOKUP_BYTES = 16 * 1024 * 1024
-
 
 def left_join_on_nullable(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Left join on a text or number key that is often NULL on the left.
+    """Left join on a key of any type that is often NULL on the left.
 
-    Rows without a key would all hash to one partition. They are given a hash of their other
-    columns to travel by, and the join condition still says that they match nothing.
+    Rows without a key would all hash to one partition. The join is on the key and a salt, which is 0
+    for real keys and a hash of the other columns for rows without one; these match nothing.
     """
     others = [name for name in left.columns if name != key] or [key]
-    travel = F.coalesce(F.col(key), F.hash(*others).cast(left.schema[key].dataType))
-    keyed = left.withColumn("_travel", travel)
-    found = right.where(F.col(key).isNotNull()).withColumnRenamed(key, "_found")
-    matches = (F.col("_travel") == F.col("_found")) & F.col(key).isNotNull()
+    salt = F.when(F.col(key).isNull(), F.hash(*others)).otherwise(0)
+    keyed = left.withColumn("_salt", salt)
+    found = right.where(F.col(key).isNotNull()).withColumnRenamed(key, "_found").withColumn("_salted", F.lit(0))
+    matches = (F.col(key) == F.col("_found")) & (F.col("_salt") == F.col("_salted"))
     columns = [key, *(name for name in left.columns if name != key)]
     return keyed.join(found, matches, "left").select(*columns, *(n for n in right.columns if n != key))
 
@@ -50,15 +47,7 @@ def left_join_to_many(few: DataFrame, many: DataFrame, key: str) -> DataFrame:
     return matched.unionByName(unmatched, allowMissingColumns=True).select(*columns)
 
 
-def fits(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
-    """Whether a frame is within both bounds; reads no more than one row above the first."""
-    width = F.octet_length(F.to_json(F.struct("*")))
-    rows, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
-    return rows <= max_rows and size <= max_bytes
-
-
-def lookup_join(
-    facts: DataFrame, lookup: DataFrame, key: str, max_rows: int = LOOKUP_ROWS, max_bytes: int = LOOKUP_BYTES
-) -> DataFrame:
-    """Left join that broadcasts ``lookup`` only after measuring it; a larger one is shuffled."""
-    return facts.join(F.broadcast(lookup) if fits(lookup, max_rows, max_bytes) else lookup, key, "left")
+def lookup_join(facts: DataFrame, lookup: DataFrame, key: str, broadcast: bool = False) -> DataFrame:
+    """Left join of facts with a lookup. Spark decides by the measured size whether to broadcast it;
+    ``broadcast`` is the caller's word that it is small whatever the data."""
+    return facts.join(F.broadcast(lookup) if broadcast else lookup, key, "left")

@@ -70,21 +70,21 @@ def _(lay):
 @query(
     "e5_left_join_same_name",
     """SELECT c.client_id, c.email, s.price FROM silver_customers c
-       LEFT JOIN (SELECT * FROM silver_sales WHERE product_name = 'TV') s ON c.client_id = s.client_id""",
+       LEFT JOIN silver_sales s ON c.client_id = s.client_id""",
 )
 def _(lay):
-    televisions = lay.sales.where("product_name = 'TV'").select("client_id", "price")
-    return left_join_to_many(lay.customers.select("client_id", "email"), televisions, "client_id")
+    bought = lay.sales.select("client_id", "price")
+    return left_join_to_many(lay.customers.select("client_id", "email"), bought, "client_id")
 
 
 @query(
     "e5_left_join_renamed_keys",
     """SELECT c.client_id, s.client_id AS customer_id, s.price FROM silver_customers c
-       LEFT JOIN (SELECT * FROM silver_sales WHERE product_name = 'Oven') s ON c.client_id = s.client_id""",
+       LEFT JOIN silver_sales s ON c.client_id = s.client_id""",
 )
 def _(lay):
-    ovens = lay.sales.where("product_name = 'Oven'").select(F.col("client_id").alias("customer_id"), "price")
-    keyed = ovens.withColumn("client_id", F.col("customer_id"))
+    bought = lay.sales.select(F.col("client_id").alias("customer_id"), "price")
+    keyed = bought.withColumn("client_id", F.col("customer_id"))
     return left_join_to_many(lay.customers.select("client_id"), keyed, "client_id")
 
 
@@ -95,7 +95,7 @@ def _(lay):
 )
 def _(lay):
     nations = lay.read("nation").select(F.col("n_name").alias("state"), "n_regionkey")
-    return lookup_join(lay.state_sales.select("client_id", "price", "state"), nations, "state")
+    return lookup_join(lay.state_sales.select("client_id", "price", "state"), nations, "state", broadcast=True)
 
 
 @query(
@@ -106,7 +106,7 @@ def _(lay):
 def _(lay):
     """The other way of the same join, for a lookup above the row bound."""
     nations = lay.read("nation").select(F.col("n_name").alias("state"), "n_regionkey")
-    return lookup_join(lay.state_sales.select("client_id", "price", "state"), nations, "state", max_rows=5)
+    return lookup_join(lay.state_sales.select("client_id", "price", "state"), nations, "state", broadcast=False)
 
 
 @query(

@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import fresh_path, shared_folder
+from ..session import fresh_path
 from ..sources.testtables import Layers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,7 +124,6 @@ def scratch(lay: Layers, label: str) -> str:
 
 def scratch_table(lay: Layers, label: str) -> str:
     """An unused table name in a database that lies in the shared folder."""
-    lay.spark.sql(
-        f"CREATE DATABASE IF NOT EXISTS {DATABASE} LOCATION '{shared_folder(lay.spark)}/strataflow/{DATABASE}'"
-    )
+    if not lay.spark.catalog.databaseExists(DATABASE):
+        lay.spark.sql(f"CREATE DATABASE {DATABASE} LOCATION '{fresh_path(lay.spark, DATABASE)}'")
     return f"{DATABASE}.{label}_{uuid.uuid4().hex[:12]}"

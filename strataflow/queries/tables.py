@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 from ..schemas import GOLD_CUSTOMERS, SILVER_CUSTOMERS, require_contract
 from ..operators.dedup import upsert, upsert_by_join
 from ..plans import gold, silver
-from ..sinks import merge_into, overwrite, overwrite_partitioned, plan_text, replace_table, save_query
+from ..sinks import merge_into, overwrite, overwrite_partitioned, replace_table, save_query
 from ..sinks import stage_then_attach, write_csv
 from ..sources import attach_files, attach_files_sql, load_csv, load_parquet, table
 from ..sources.testtables import AS_OF
@@ -93,7 +93,9 @@ def _(lay):
 
 @query("b8_staged_table", "SELECT * FROM gold_customers")
 def _(lay):
-    return stage_then_attach(lay.enriched, scratch_table(lay, "staged"), scratch(lay, "gold"))
+    name, location = scratch_table(lay, "staged"), scratch(lay, "gold")
+    stage_then_attach(lay.enriched.limit(0), name, location)
+    return stage_then_attach(lay.enriched, name, location)
 
 
 @query("b9_query_to_table", "SELECT * FROM gold_customers WHERE age < 25")
@@ -134,7 +136,7 @@ def _(lay):
     existing, updates = upsert_sides(lay)
     name = scratch_table(lay, "customers")
     replace_table(existing, name, location=scratch(lay, "customers"))
-    return merge_into(updates, name, "client_id")
+    return merge_into(updates, name, "client_id", scratch(lay, "merged"))
 
 
 @query("b11_upsert", UPSERTED)
@@ -150,11 +152,3 @@ def _(lay):
 @query("b12_contract_gate", "SELECT * FROM gold_customers")
 def _(lay):
     return require_contract(gold_with_stamp(lay), GOLD_CUSTOMERS).drop("processed_at")
-
-
-@query("b14_plan_preview")
-def _(lay):
-    lay.sales.createOrReplaceTempView("strataflow_sales")
-    return plan_text(
-        lay.spark, "SELECT product_name, sum(price) FROM strataflow_sales GROUP BY product_name"
-    )

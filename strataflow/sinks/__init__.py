@@ -1,7 +1,8 @@
-from .files import append, overwrite, overwrite_days, overwrite_partitioned, write_csv
+from .files import add_to_days, append, overwrite, overwrite_days, overwrite_partitioned, write_csv
 from .tables import merge_into, plan_text, preview, replace_table, save_query, stage_then_attach
 
 __all__ = [
+    "add_to_days",
     "append",
     "merge_into",
     "overwrite",

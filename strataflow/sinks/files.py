@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from ..session import staged
 
 
 def overwrite(df: DataFrame, path: str) -> None:
@@ -33,3 +36,24 @@ def overwrite_days(df: DataFrame, path: str, *columns: str) -> None:
     """Replace only the folders ``df`` has rows for; loading the same days twice changes nothing."""
     writer = _sized_by(df, columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*columns).parquet(path)
+
+
+def add_to_days(df: DataFrame, path: str, day: str, stamps: tuple[str, ...] = ()) -> None:
+    """Append the rows that the table lacks, counting copies; nothing that is there is touched.
+
+    Rows are equal when all columns but ``stamps`` are. The present rows of the days in ``df`` are read,
+    no others. Loading the same rows twice changes nothing.
+    """
+    spark = df.sparkSession
+    table = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if table.getFileSystem(spark._jsc.hadoopConfiguration()).exists(table):
+        df = staged(df, "delivery")  # it is read for its days and for its rows
+        compared = [name for name in df.columns if name not in stamps]
+        copy = F.row_number().over(Window.partitionBy(*compared).orderBy(F.lit(1)))
+        there = spark.read.schema(df.schema).parquet(path).select(*compared)
+        days = df.select(F.col(day).alias("_day")).distinct()
+        there = there.join(days, F.col(day).eqNullSafe(F.col("_day")), "left_semi").withColumn("_copy", copy)
+        there = there.withColumnsRenamed({name: f"_{name}" for name in compared} | {"_copy": "__copy"})
+        same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in [*compared, "_copy"]]
+        df = df.withColumn("_copy", copy).join(there, same, "left_anti").drop("_copy")
+    _sized_by(df, (day,)).write.mode("append").partitionBy(day).parquet(path)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from ..operators.dedup import upsert
 from ..schemas import require_contract
-from ..session import fresh_path
 from ..sources.catalog import attach_files, quoted
 
 
@@ -25,9 +26,15 @@ def replace_table(
 
 
 def stage_then_attach(df: DataFrame, name: str, location: str) -> DataFrame:
-    """Write files first, then lay the table over them, so readers never see half a load."""
-    df.write.mode("overwrite").parquet(location)
-    return attach_files(df.sparkSession, name, location, df.schema)
+    """Write a new folder below ``location``, then lay the table over it, so readers never see half a load.
+
+    A table that is there already moves to the new folder; the folder of the load before stays.
+    """
+    target = f"{location.rstrip('/')}/load-{uuid.uuid4().hex}"
+    df.write.parquet(target)
+    if df.sparkSession.catalog.tableExists(quoted(name)):
+        return _moved(df.sparkSession, name, target)
+    return attach_files(df.sparkSession, name, target, df.schema)
 
 
 def save_query(spark: SparkSession, query: str, name: str, location: str | None = None) -> DataFrame:
@@ -35,17 +42,21 @@ def save_query(spark: SparkSession, query: str, name: str, location: str | None
     return replace_table(spark.sql(query), name, location=location)
 
 
-def merge_into(updates: DataFrame, name: str, key: str, location: str | None = None) -> DataFrame:
+def _moved(spark: SparkSession, name: str, location: str) -> DataFrame:
+    escaped = location.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"ALTER TABLE {quoted(name)} SET LOCATION '{escaped}'")
+    spark.catalog.refreshTable(quoted(name))
+    return spark.table(quoted(name))
+
+
+def merge_into(updates: DataFrame, name: str, key: str, location: str) -> DataFrame:
     """Upsert into a Parquet table: write the merged rows beside it, then move the table over.
 
     The old files stay whole until the switch, so a failed run leaves the table as it was.
     """
     spark = updates.sparkSession
-    target = location or fresh_path(spark, "merge")
-    upsert(spark.table(quoted(name)), updates, key).write.parquet(target)
-    spark.sql(f"ALTER TABLE {quoted(name)} SET LOCATION '{target}'")
-    spark.catalog.refreshTable(quoted(name))
-    return spark.table(quoted(name))
+    upsert(spark.table(quoted(name)), updates, key).write.parquet(location)
+    return _moved(spark, name, location)
 
 
 def preview(df: DataFrame, n: int = 10) -> DataFrame:

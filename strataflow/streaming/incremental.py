@@ -5,10 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..sinks.files import overwrite_days
+from ..sinks.files import add_to_days
 from ..sources.files import delivery_date
 
 PROGRESS_KEPT = "spark.sql.streaming.numRecentProgressUpdates"
@@ -57,5 +56,6 @@ def ingest_new_files(
 
 
 def reload_days(df: DataFrame, path: str, day: str = "purchase_date") -> None:
-    """Load deliveries into a day-partitioned table; days in ``df`` are replaced, others kept."""
-    overwrite_days(df.where(F.col(day).isNotNull()), path, day)
+    """Add deliveries to a day-partitioned table. A delivery that was loaded before adds nothing, one that
+    comes late adds its rows to what the day already has; rows without a day have a folder of their own."""
+    add_to_days(df, path, day)

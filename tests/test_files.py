@@ -100,15 +100,20 @@ def sales(spark, *rows):
     )
 
 
-def test_only_delivered_days_are_replaced(spark, folder):
+def test_late_rows_join_their_day_and_reloads_add_nothing(spark, folder):
     overwrite_partitioned(sales(spark, (1, "2022-09-01", "1"), (2, "2022-09-02", "2")), folder, "purchase_date")
     again = sales(spark, (3, "2022-09-02", "3"))
     for _ in range(2):
         reload_days(again, folder)
     read = lambda: rows_of(spark.read.parquet(folder).select("client_id"))
-    assert read() == [(1,), (3,)]
-    overwrite_days(sales(spark, (4, "2022-09-03", "4")), folder, "purchase_date")
-    assert read() == [(1,), (3,), (4,)]
+    assert read() == [(1,), (2,), (3,)]
+    dayless = sales(spark, (5, "2022-09-02", "5")).withColumn("purchase_date", F.lit(None).cast("date"))
+    for _ in range(2):
+        reload_days(dayless, folder)
+        reload_days(sales(spark, (6, "2022-09-02", "6"), (6, "2022-09-02", "6")), folder)
+    assert read() == [(1,), (2,), (3,), (5,), (6,), (6,)]
+    overwrite_days(sales(spark, (4, "2022-09-02", "4")), folder, "purchase_date")
+    assert read() == [(1,), (4,), (5,)]
     overwrite_partitioned(again, folder, "purchase_date")
     assert read() == [(3,)]
 
@@ -199,6 +204,7 @@ def test_jobs_from_files_to_answer(spark, folder, database, capsys):
     counts = run("sales-silver", "--bronze", at("bs"), "--silver", at("ss"))
     assert (counts["rows_in"], counts["rows_out"], counts["bad_client_id"], counts["bad_price"]) == (3, 2, 1, 0)
     assert run("sales-silver", "--bronze", at("bs"), "--silver", at("ss"), "--only-days")["rows_out"] == 2
+    assert spark.read.parquet(at("ss")).count() == 2
     assert run("customers-bronze", "--raw", f"{raw}/customers", "--bronze", at("bc"))["undated"] == 0
     counts = run("customers-silver", "--bronze", at("bc"), "--silver", at("sc"))
     assert counts == {"rows_in": 4, "rows_without_key": 0, "duplicates_removed": 2, "rows_out": 2}
@@ -238,3 +244,8 @@ def test_only_a_local_master_may_do_without_a_shared_folder():
     assert shared_folder(Unnamed("local[2]")) == shared_folder(Unnamed("local[2]"))
     with pytest.raises(RuntimeError):
         shared_folder(Unnamed("yarn"))
+
+
+def test_merge_without_a_table_needs_the_old_snapshot(spark, folder):
+    with pytest.raises(ValueError, match="old snapshot"):
+        jobs.merge_customers(spark, f"{folder}/none", "no_such_table", f"{folder}/new", since="2022-09-02")

