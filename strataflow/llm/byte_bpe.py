@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .common import text_batches
 
-KEPT = 400_000  # pieces, and pairs of tokens, remembered by a worker before it forgets them all
+KEPT = 250_000  # pieces, and pairs of tokens, remembered by a worker before it forgets them all
 LONG = 1 << 20  # characters from which a text is split piece by piece
 ROWS = 500  # of a batch that are worked on at a time
 
