@@ -9,6 +9,7 @@ never tried again, which keeps the work linear. Which neighbours are compatible
 from __future__ import annotations
 
 import base64
+import re
 from array import array
 from collections.abc import Iterator
 
@@ -16,6 +17,7 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
+import tiktoken
 from pyspark import Broadcast
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +27,25 @@ from .common import text_batches
 KEPT = 250_000  # pieces, and pairs of tokens, remembered by a worker before it forgets them all
 LONG = 1 << 20  # characters from which a text is split piece by piece
 ROWS = 500  # of a batch that are worked on at a time
+NEITHER = "\uffff"  # a character that is neither letter nor number in any version of Unicode
+
+
+def unknown_letters() -> str:
+    """A character class of the letters and numbers that are newer than the library's version of Unicode.
+
+    To the library they are neither, so a pattern of ours has to treat them so too. Empty if there are none.
+    """
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    ours = regex.sub(r"[^\p{L}\p{N}]+", "", every)
+    library = tiktoken.Encoding("letters", pat_str=r"\p{L}|\p{N}", mergeable_ranks={bytes([b]): b for b in range(256)}, special_tokens={})
+    known = set(library.decode(library.encode_ordinary(ours)))
+    ranges: list[list[int]] = []
+    for place in (ord(c) for c in ours if c not in known):
+        if ranges and ranges[-1][1] == place - 1:
+            ranges[-1][1] = place
+        else:
+            ranges.append([place, place])
+    return "[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges) + "]" if ranges else ""
 
 
 class Vocabulary:
@@ -41,13 +62,14 @@ class Vocabulary:
 
 
 class Codec(Vocabulary):
-    """Encodes, too."""
+    """Encodes, too; ``unknown`` is what :func:`unknown_letters` gives."""
 
-    def __init__(self, ranks: bytes, pattern: str):
+    def __init__(self, ranks: bytes, pattern: str, unknown: str = ""):
         super().__init__(ranks)
         self.token = [token.decode("latin-1") for token in self.table]
         self.rank = {token: rank for rank, token in enumerate(self.token) if token}
         self.split = regex.compile(pattern)
+        self.unknown = re.compile(unknown) if unknown else None
         self.longest_token = max(map(len, self.rank))
         self.trie = ahocorasick.Automaton()
         for token, rank in self.rank.items():
@@ -122,11 +144,22 @@ class Codec(Vocabulary):
 
     def encode(self, text: str) -> bytes:
         """Ids as 32-bit integers."""
+        if self.unknown and not _latin(text) and self.unknown.search(text):
+            masked = self.unknown.sub(NEITHER, text)
+            return b"".join(self.pieces[text[slice(*found.span())]] for found in self.split.finditer(masked))
         if len(text) < LONG:
             return b"".join(map(self.pieces.__getitem__, self.split.findall(text)))
         return b"".join(self.pieces[found.group()] for found in self.split.finditer(text))
 
 
+def _latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class _Pieces(dict):
     """Encoded pieces, each made when it is first asked for."""
 
@@ -143,14 +176,14 @@ class _Pieces(dict):
         return ids
 
 
-_made: dict[tuple[int, str], Vocabulary] = {}
+_made: dict[tuple[int, str, str], Vocabulary] = {}
 
 
-def _once(ranks: Broadcast, pattern: str = "") -> Vocabulary:
+def _once(ranks: Broadcast, pattern: str = "", unknown: str = "") -> Vocabulary:
     """What a worker makes of the file and keeps from task to task; a codec where there is a pattern."""
-    key = (hash(ranks.value), pattern)
+    key = (hash(ranks.value), pattern, unknown)
     if key not in _made:
-        _made[key] = Codec(ranks.value, pattern) if pattern else Vocabulary(ranks.value)
+        _made[key] = Codec(ranks.value, pattern, unknown) if pattern else Vocabulary(ranks.value)
     return _made[key]
 
 
@@ -170,14 +203,15 @@ class BytePairEncoder:
         text_batches(spark)
         with open(path, "rb") as file:
             self.ranks, self.pattern = spark.sparkContext.broadcast(file.read()), pattern
+        self.unknown = unknown_letters()
 
     def encode(self, text: Column) -> Column:
         """Ids of a whole text as ``array<int>``; null and empty texts have none. Special tokens are plain text."""
-        ranks, pattern = self.ranks, self.pattern
+        ranks, pattern, unknown = self.ranks, self.pattern, self.unknown
 
         @F.arrow_udf("array<int>")
         def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            codec = _once(ranks, pattern)
+            codec = _once(ranks, pattern, unknown)
             for texts in _slices(batches):
                 parts = [codec.encode(text) if text else b"" for text in texts.to_pylist()]
                 ends = np.cumsum([0] + [len(part) // 4 for part in parts])
