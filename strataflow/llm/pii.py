@@ -9,6 +9,7 @@ themselves, labelled by the patterns, and only ever adds spans: those it finds w
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import cache
 
@@ -267,10 +268,17 @@ def spans(text: str, field: Field) -> tuple[list[Span], list[Span]]:
         elif b - a > 4096:  # long tables of numbers, by overlapping windows
             for at in range(a, b, 2048):
                 added += [(s + at, e + at, k) for s, e, k in field.best(text[at : min(at + 2048 + LONGEST, high)]) if s < 2048]
-    taken = [(s, e) for s, e, _ in base]
+    taken: list[list[int]] = []  # what the patterns cover
+    for s, e, _ in base:
+        if taken and s < taken[-1][1]:
+            taken[-1][1] = max(taken[-1][1], e)
+        else:
+            taken.append([s, e])
+    ends = [e for _, e in taken]
     fresh = []
     for s, e, k in _apart(sorted(added)):
-        if not any(s < y and x < e for x, y in taken):
+        after = bisect_right(ends, s)
+        if after == len(ends) or e <= taken[after][0]:
             fresh.append((s, e, k))
     return base, sorted(base + fresh, key=lambda span: (span[0], span[2]))
 
