@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import staged
-from .common import WORD
+from .common import WORD, unused
 
 SLICE_ROWS = 5_000
 
@@ -149,7 +149,7 @@ def mixed(docs: DataFrame, mix: Mix = DOCUMENTS, id_col: str = "doc_id", text_co
     Rows without an id can't be drawn; rows that repeat one are drawn together, as often as any of them.
     """
     often = drawn(docs, mix, id_col, text_col).where("doc_id IS NOT NULL").select("doc_id", "epoch").distinct()
-    chosen = staged(often, "drawn").withColumnRenamed("doc_id", id_col)
     # What is drawn grows with the corpus: it is never a side to broadcast.
-    chosen = chosen.select(id_col, F.col("epoch").alias("_epoch")).hint("merge")
+    chosen = staged(often, "drawn").select(F.col("doc_id").alias(id_col), F.col("epoch").alias(unused(docs.columns, "epoch")))
+    chosen = chosen.hint("merge")
     return docs.join(chosen, id_col).select(*[F.col(f"`{c}`") for c in docs.columns])
