@@ -14,16 +14,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import staged
+from .common import unused
 
 RANGE_ROWS = 250_000  # rows aimed at in a range
 SAMPLES = 24  # drawn for each range; 16 bytes each on the driver
 ROUNDS = 8  # of subdividing
 
 
-def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str | None = None) -> DataFrame:
     """``doc_id, size, text_crc32`` and the key: hashes of text and id, and a row mark to part what is left.
 
-    Staged, which fixes the mark. The size is the bytes of the text and one; a null text has no bytes.
+    Staged, which fixes the mark, unless ``mark`` names a column that has one. The size is the bytes of the text and one; a null text has no bytes.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     return staged(
@@ -33,7 +34,7 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
             F.crc32(text.cast("binary")).alias("text_crc32"),
             F.xxhash64(text).alias("k1"),
             F.xxhash64(F.col(id_col).cast("long")).alias("k2"),
-            F.monotonically_increasing_id().alias("row"),
+            (F.col(mark) if mark else F.monotonically_increasing_id()).alias("row"),
         ),
         "keyed",
     )
@@ -107,7 +108,12 @@ def assigned(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col:
     a cut. Slots number the rows of a shard from 0. Null texts count as empty, null ids sort by the hash
     of null, repeated rows are rows each. An empty table gives no rows. Other columns are not read.
     """
-    rows = staged(ranged(keyed(docs, id_col, text_col)), "ranged")
+    return placed(docs, shards, id_col, text_col).drop("row")
+
+
+def placed(docs: DataFrame, shards: int, id_col: str, text_col: str, mark: str | None = None) -> DataFrame:
+    """:func:`assigned`, and ``row``, the mark of the row."""
+    rows = staged(ranged(keyed(docs, id_col, text_col, mark)), "ranged")
     inner = Window.partitionBy("piece").orderBy("k1", "k2", "row")
     before = inner.rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("place", F.row_number().over(inner) - 1)
@@ -124,19 +130,25 @@ def assigned(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col:
     # The middle of a record decides, so that cuts fall on either side of it alike.
     middle = F.col("offset") + F.col("first_offset") + (F.col("size") / 2)
     shard = F.least(F.floor(middle * shards / F.col("total")), F.lit(shards - 1)).cast("int")
-    rows = staged(rows.select("doc_id", "size", "text_crc32", "place", shard.alias("shard")), "placed")
+    rows = staged(rows.select("row", "doc_id", "size", "text_crc32", "place", shard.alias("shard")), "placed")
     firsts = rows.groupBy("shard").agg(F.min("place").alias("first"))
     return rows.join(F.broadcast(firsts), "shard").select(  # a row for each shard
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
-        (F.col("place") - F.col("first")).alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
+        (F.col("place") - F.col("first")).alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "row",
     )
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = 8, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Write ``docs`` as Parquet under ``path/shard=<n>/``, each shard by several tasks, in order of the slot."""
-    places = assigned(docs, shards, id_col, text_col).select(
-        F.col("doc_id").alias(id_col), "shard", "slot"
-    ).dropDuplicates([id_col])
-    joined = docs.join(places, id_col)
+    """Write ``docs`` as Parquet under ``path/shard=<n>/``, each shard by several tasks, in order of the slot.
+
+    Every row is written once, with its ``slot``, rows without an id and rows that repeat one too. Where
+    ``docs`` has columns of these names, underscores are added to the new ones.
+    """
+    mark, shard, slot = (unused(docs.columns, name) for name in ("row", "shard", "slot"))
+    marked = staged(docs.withColumn(mark, F.monotonically_increasing_id()), "marked")
+    places = placed(marked, shards, id_col, text_col, mark).select(
+        F.col("row").alias(mark), F.col("shard").alias(shard), F.col("slot").alias(slot)
+    )
+    joined = marked.join(places, mark).drop(mark)
     files = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), shards)
-    joined.repartitionByRange(files, "shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    joined.repartitionByRange(files, shard, slot).sortWithinPartitions(shard, slot).write.partitionBy(shard).parquet(path)
