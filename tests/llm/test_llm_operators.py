@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -20,7 +21,7 @@ from tokenizers import Tokenizer
 
 from conftest import TESTDATA
 from strataflow.llm import chat, exact_dedup, mixing, near_dedup, pii, quality, registry, sharding, token_files, url_filter
-from strataflow.llm.byte_bpe import BytePairEncoder, Codec
+from strataflow.llm.byte_bpe import BytePairEncoder, Codec, unknown_letters
 from strataflow.llm.components import components
 from strataflow.llm.exact_dedup import QuotientFilter, merged
 from strataflow.llm.words import shingles, word_hashes
@@ -205,9 +206,10 @@ def test_bpe_round_trip(spark, odd, library):
 
 def test_bpe_equals_the_library_on_noise(library):
     with open(RANKS, "rb") as file:
-        codec = Codec(file.read(), public_tokenizers.PATTERN)
+        codec = Codec(file.read(), public_tokenizers.PATTERN, unknown_letters())
     rng = np.random.default_rng(3)
     letters = list("abcdest  \n\t\x1c\x85\xa0éß漢🙂²½'<|endoftext|>0123.,%aaaa")
+    letters += ["\u088f", "\U00018dda", "\U0001915a", "\U000323b0", "\u0378", "\U0003fc3f"]  # new in Unicode, some not yet in it
     for _ in range(3000):
         text = "".join(rng.choice(letters, rng.integers(0, 50)))
         assert np.frombuffer(codec.encode(text), np.int32).tolist() == library.encode_ordinary(text)
@@ -267,6 +269,19 @@ def test_shards(spark, odd, monkeypatch):
     check_shards(texts, sharding.assigned(spark.createDataFrame(texts, "doc_id long, text string")).collect())
 
 
+def test_written_shards_hold_every_row(spark, odd):
+    path = fresh_path(spark, "shards")
+    named = odd.withColumn("slot", F.lit("x"))
+    sharding.write_shards(named, path, shards=3)
+    back = spark.read.parquet(path)
+    assert sorted(back.columns) == sorted([*named.columns, "shard", "slot_"])
+    assert sorted(map(repr, rows(back.select(*named.columns)))) == sorted(map(repr, rows(named)))
+    slots = defaultdict(list)
+    for row in back.collect():
+        slots[row.shard].append(row.slot_)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
 # --- urls ------------------------------------------------------------------------------------------
 
 
@@ -318,6 +333,8 @@ def test_drawn_on_odd_rows(odd, monkeypatch):
     assert all(spent[leaf] <= max(r.budget, 0) for leaf, r in budgets.items())
     assert all(r.budget <= 2 * r.tokens for r in budgets.values())
     left = mixing.mixed(odd)
+    clashing = mixing.mixed(odd.withColumn("epoch", F.lit("x")).withColumn("_epoch", F.lit("y")))
+    assert clashing.columns == [*odd.columns, "epoch", "_epoch"] and clashing.count() == left.count()
     assert left.columns == odd.columns and None not in {r.doc_id for r in left.collect()}
     with pytest.raises(ValueError, match="weights"):
         mixing.Mix({"a": "a"}, {"a": {"x": 0}})
@@ -345,6 +362,19 @@ def test_patterns_are_those_of_the_contract():
         assert pii.patterns(text) == brute_spans(text)
 
 
+def test_spans_of_many_addresses_take_linear_time():
+    text = " ".join(f"a{i}@b.org, 1.2.3.{i % 256}" for i in range(30_000))
+    field = pii.Field(np.ones((4, pii.FEATURES)))  # sees a segment everywhere
+    start = time.process_time()
+    base, every = pii.spans(text[:40_000], field)
+    small = time.process_time() - start
+    start = time.process_time()
+    pii.spans(text[:400_000], field)
+    assert time.process_time() - start < 25 * small
+    covered = set().union(*(range(s, e) for s, e, _ in base))
+    assert all(s not in covered and e - 1 not in covered for s, e, k in set(every) - set(base))
+
+
 @pytest.fixture(scope="module")
 def trained(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").withColumn("fold", F.pmod(F.xxhash64("text"), F.lit(2)))
