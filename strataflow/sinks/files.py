@@ -2,15 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import staged
 
 
-def overwrite(df: DataFrame, path: str) -> None:
-    """Replace the whole snapshot."""
-    df.write.mode("overwrite").parquet(path)
+STREAM_LOG = "_spark_metadata"
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def overwrite(df: DataFrame, path: str, *columns: str) -> None:
+    """Replace the whole snapshot, with ``columns`` in a folder for each value; rows are not moved.
+
+    A folder that a stream appends to is refused: its log would go, and the stream would fail on it.
+    """
+    if exists(df.sparkSession, f"{path.rstrip('/')}/{STREAM_LOG}"):
+        raise ValueError(f"{path} belongs to an incremental load; give the snapshot a folder of its own")
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (writer.partitionBy(*columns) if columns else writer).parquet(path)
 
 
 def append(df: DataFrame, path: str) -> None:
@@ -45,8 +59,7 @@ def add_to_days(df: DataFrame, path: str, day: str, stamps: tuple[str, ...] = ()
     no others. Loading the same rows twice changes nothing.
     """
     spark = df.sparkSession
-    table = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if table.getFileSystem(spark._jsc.hadoopConfiguration()).exists(table):
+    if exists(spark, path):
         df = staged(df, "delivery")  # it is read for its days and for its rows
         compared = [name for name in df.columns if name not in stamps]
         copy = F.row_number().over(Window.partitionBy(*compared).orderBy(F.lit(1)))

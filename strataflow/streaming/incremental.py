@@ -7,11 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from ..sinks.files import add_to_days
+from ..sinks.files import STREAM_LOG, add_to_days, exists
 from ..sources.files import delivery_date
 
-PROGRESS_KEPT = "spark.sql.streaming.numRecentProgressUpdates"
-
 
 def ingest_new_files(
     spark: SparkSession,
@@ -21,13 +19,17 @@ def ingest_new_files(
     schema: StructType,
     shape: Callable[[DataFrame], DataFrame],
     max_files: int = 10_000,
+    folders: tuple[str, ...] = (),
 ) -> int:
     """Append the rows of files not seen by an earlier run, then stop. Returns the rows read.
 
     The checkpoint remembers the files and the sink's log makes a repeated batch harmless.
     ``shape`` is the same step as in the batch load. ``max_files`` bounds one micro-batch;
-    all pending files are still taken.
+    all pending files are still taken. ``folders`` names columns to have folders for. A folder that
+    holds other rows is refused, because readers would no longer see them beside the sink's log.
     """
+    if exists(spark, bronze) and not exists(spark, f"{bronze.rstrip('/')}/{STREAM_LOG}"):
+        raise ValueError(f"{bronze} holds a snapshot; give the incremental load a folder of its own")
     lines = (
         spark.readStream.schema(schema)
         .option("header", True)
@@ -44,15 +46,15 @@ def ingest_new_files(
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
     )
-    # The sum needs the progress of every micro-batch, and a query keeps only the last hundred.
-    kept = spark.conf.get(PROGRESS_KEPT)
-    spark.conf.set(PROGRESS_KEPT, 100_000)
-    try:
-        query = writer.start()
-    finally:
-        spark.conf.set(PROGRESS_KEPT, kept)
-    query.awaitTermination()
-    return sum(progress.numInputRows for progress in query.recentProgress)
+    query = (writer.partitionBy(*folders) if folders else writer).start()
+    # A query keeps the progress of its last hundred micro-batches, far more than run between two looks.
+    read: dict[int, int] = {}
+    ended = False
+    while not ended:
+        ended = query.awaitTermination(1)
+        for progress in query.recentProgress:
+            read[progress.batchId] = max(progress.numInputRows, read.get(progress.batchId, 0))
+    return sum(read.values())
 
 
 def reload_days(df: DataFrame, path: str, day: str = "purchase_date") -> None:
