@@ -20,6 +20,7 @@ from .schemas import (
     BRONZE_SALES,
     GOLD_CUSTOMERS,
     GOLD_SALES,
+    GOLD_SALES_DOUBLE,
     RAW_CUSTOMERS,
     RAW_PROFILES,
     RAW_SALES,
@@ -30,25 +31,41 @@ from .schemas import (
 )
 from .session import session
 from .sinks import add_to_days, merge_into, overwrite, overwrite_partitioned, replace_table
-from .sources import csv_delivery, json_lines, parquet, with_delivery_date
+from .sources import csv_delivery, json_lines, parquet, split_malformed, with_delivery_date
 from .streaming import ingest_new_files
 
 Counts = dict[str, int]
 
 
-def sales_to_bronze(spark: SparkSession, raw: str, bronze_path: str) -> Counts:
-    read, rows_in = observed(csv_delivery(spark, raw, RAW_SALES), "read")
+def _set_aside(scan: DataFrame, quarantine: str | None) -> tuple[DataFrame, Counts]:
+    """Sound lines, after the others are written to ``quarantine`` with their text.
+
+    Without a quarantine all lines go on, short ones padded and long ones cut.
+    """
+    if not quarantine:
+        return scan, {}
+    sound, bad = split_malformed(scan)
+    bad, seen = observed(bad, "malformed")
+    overwrite(bad, quarantine)
+    return sound, {"malformed": seen.get["rows"]}
+
+
+def sales_to_bronze(spark: SparkSession, raw: str, bronze_path: str, quarantine: str | None = None) -> Counts:
+    scan, malformed = _set_aside(csv_delivery(spark, raw, RAW_SALES, keep_malformed=bool(quarantine)), quarantine)
+    read, rows_in = observed(scan, "read")
     kept, rows_out = observed(require_contract(bronze.sales_bronze(read), BRONZE_SALES), "kept")
     overwrite(kept, bronze_path)
-    return _dropped(rows_in.get["rows"], rows_out.get["rows"])
+    return _dropped(rows_in.get["rows"], rows_out.get["rows"]) | malformed
 
 
-def customers_to_bronze(spark: SparkSession, raw: str, bronze_path: str) -> Counts:
-    scan = with_delivery_date(csv_delivery(spark, raw, RAW_CUSTOMERS))
+def customers_to_bronze(spark: SparkSession, raw: str, bronze_path: str, quarantine: str | None = None) -> Counts:
+    """One folder for each delivery date, so that a merge reads the new dumps only."""
+    scan = with_delivery_date(csv_delivery(spark, raw, RAW_CUSTOMERS, keep_malformed=bool(quarantine)))
+    scan, malformed = _set_aside(scan, quarantine)
     read, rows_in = observed(scan, "read", undated=F.col("delivery_date").isNull())
     kept, rows_out = observed(require_contract(bronze.customers_bronze(read), BRONZE_CUSTOMERS), "kept")
-    overwrite(kept, bronze_path)
-    return _dropped(rows_in.get["rows"], rows_out.get["rows"]) | {"undated": rows_in.get["undated"]}
+    overwrite(kept, bronze_path, "delivery_date")
+    return _dropped(rows_in.get["rows"], rows_out.get["rows"]) | {"undated": rows_in.get["undated"]} | malformed
 
 
 def sales_to_silver(
@@ -76,7 +93,7 @@ def sales_to_silver(
 
 def customers_to_silver(spark: SparkSession, bronze_path: str, silver_path: str) -> Counts:
     raw, seen = observed(
-        parquet(spark, bronze_path), "read", bad_client_id=fn.whole_number(F.col("Id")).isNull()
+        parquet(spark, bronze_path, schema=BRONZE_CUSTOMERS), "read", bad_client_id=fn.whole_number(F.col("Id")).isNull()
     )
     kept, rows_out = observed(require_contract(silver.customers_silver(raw), SILVER_CUSTOMERS), "kept")
     overwrite(kept, silver_path)
@@ -101,7 +118,7 @@ def merge_customers(
     known = old is None and spark.catalog.tableExists(table)
     if since and not old and not known:
         raise ValueError(f"no table {table} to merge into; give the old snapshot, or all deliveries")
-    dumps = parquet(spark, bronze_path)
+    dumps = parquet(spark, bronze_path, schema=BRONZE_CUSTOMERS)
     if since:
         dumps = dumps.where(F.col("delivery_date") >= F.lit(since).cast("date"))
     newest, counts = observed(require_contract(silver.customers_silver(dumps), SILVER_CUSTOMERS), "newest")
@@ -114,11 +131,12 @@ def merge_customers(
     return dict(counts.get)
 
 
-def profiles_to_silver(spark: SparkSession, raw: str, silver_path: str) -> Counts:
-    read, seen = observed(json_lines(spark, raw, RAW_PROFILES), "read", no_email=F.col("email").isNull())
+def profiles_to_silver(spark: SparkSession, raw: str, silver_path: str, quarantine: str | None = None) -> Counts:
+    scan, malformed = _set_aside(json_lines(spark, raw, RAW_PROFILES, keep_malformed=bool(quarantine)), quarantine)
+    read, seen = observed(scan, "read", no_email=F.col("email").isNull())
     kept, rows_out = observed(require_contract(silver.profiles_silver(read), SILVER_PROFILES), "kept")
     overwrite(kept, silver_path)
-    return _deduplicated(seen.get["rows"], seen.get["no_email"], rows_out.get["rows"])
+    return _deduplicated(seen.get["rows"], seen.get["no_email"], rows_out.get["rows"]) | malformed
 
 
 def customers_to_gold(
@@ -137,11 +155,15 @@ def customers_to_gold(
 
 
 def sales_to_gold(spark: SparkSession, sales: str, customers: str, raw_profiles: str, gold_path: str) -> Counts:
-    """Every sale with its buyer; the profiles are read raw because their full names are kept."""
+    """Every sale with its buyer; the profiles are read raw because their full names are kept.
+
+    Prices stay as the profile of silver sales reads them, decimal or double.
+    """
     profiles = silver.profiles_distinct(json_lines(spark, raw_profiles, RAW_PROFILES))
     rows = gold.sales_enriched(parquet(spark, sales), parquet(spark, customers), profiles)
+    contract = GOLD_SALES_DOUBLE if dict(rows.dtypes)["price"] == "double" else GOLD_SALES
     kept, counts = observed(
-        require_contract(rows, GOLD_SALES), "gold", without_profile=F.col("full_name").isNull()
+        require_contract(rows, contract), "gold", without_profile=F.col("full_name").isNull()
     )
     overwrite_partitioned(kept, gold_path, "purchase_date")
     return dict(counts.get)
@@ -153,7 +175,9 @@ def ingest_sales(spark: SparkSession, raw: str, bronze_path: str, checkpoint: st
 
 
 def ingest_customers(spark: SparkSession, raw: str, bronze_path: str, checkpoint: str) -> Counts:
-    rows = ingest_new_files(spark, raw, bronze_path, checkpoint, RAW_CUSTOMERS, bronze.customers_bronze)
+    rows = ingest_new_files(
+        spark, raw, bronze_path, checkpoint, RAW_CUSTOMERS, bronze.customers_bronze, folders=("delivery_date",)
+    )
     return {"rows_in": rows}
 
 
@@ -206,6 +230,8 @@ def main(argv: list[str] | None = None) -> Counts:
         "--profile", choices=("strict", "lenient", "normalised"), default="strict"
     )
     commands.choices["sales-silver"].add_argument("--only-days", action="store_true")
+    for job in ("sales-bronze", "customers-bronze", "profiles-silver"):
+        commands.choices[job].add_argument("--quarantine")
     commands.choices["customers-merge"].add_argument("--since")
     commands.choices["customers-merge"].add_argument("--old")
     commands.choices["top-state"].add_argument("--k", type=int, default=1)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 MONEY = "decimal(10,2)"
 
@@ -52,6 +52,8 @@ GOLD_SALES = _columns(
     "state string, registration_date date, full_name string, birth_date date, phone_number string, "
     f"product_name string, price {MONEY}"
 )
+# The same with prices as the lenient and normalised profiles read them.
+GOLD_SALES_DOUBLE = StructType([StructField(f.name, DoubleType()) if f.name == "price" else f for f in GOLD_SALES])
 
 
 class ContractError(ValueError):

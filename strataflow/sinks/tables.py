@@ -15,9 +15,14 @@ from ..sources.catalog import attach_files, quoted
 def replace_table(
     df: DataFrame, name: str, contract: StructType | None = None, location: str | None = None
 ) -> DataFrame:
-    """Overwrite a table. A frame that breaks the contract fails before anything is written."""
+    """Overwrite a table, in a schema that is made if there is none.
+
+    A frame that breaks the contract fails before anything is written.
+    """
     if contract is not None:
         df = require_contract(df, contract)
+    if "." in name:
+        df.sparkSession.sql(f"CREATE SCHEMA IF NOT EXISTS {quoted(name.rpartition('.')[0])}")
     writer = df.write.mode("overwrite").format("parquet")
     if location:
         writer = writer.option("path", location)

@@ -16,7 +16,14 @@ def table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def attach_files(spark: SparkSession, name: str, path: str, schema: StructType) -> DataFrame:
-    """A catalog table over Parquet files that already exist, with a declared schema."""
+    """A catalog table over Parquet files that already exist, with a declared schema.
+
+    Replaces an external table of that name, whose files stay. A managed one is refused: it owns its files.
+    """
+    if spark.catalog.tableExists(quoted(name)):
+        if spark.catalog.getTable(quoted(name)).tableType != "EXTERNAL":
+            raise ValueError(f"{name} is not an external table")
+        spark.sql(f"DROP TABLE {quoted(name)}")
     return spark.catalog.createTable(quoted(name), path=path, source="parquet", schema=schema)
 
 

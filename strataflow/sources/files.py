@@ -61,9 +61,9 @@ def json_lines(
     return reader.schema(_readable(schema, keep_malformed)).json(path)
 
 
-def parquet(spark: SparkSession, *paths: str) -> DataFrame:
-    """Parquet files or globs; ``column=value`` folders become a prunable column."""
-    return spark.read.parquet(*paths)
+def parquet(spark: SparkSession, *paths: str, schema: StructType | None = None) -> DataFrame:
+    """Parquet files or globs; ``column=value`` folders become a prunable column, of its type in ``schema``."""
+    return (spark.read.schema(schema) if schema else spark.read).parquet(*paths)
 
 
 def delivery_date() -> Column:
