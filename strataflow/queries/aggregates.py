@@ -119,9 +119,14 @@ def _(lay):
     return key_quality(silver.customers_typed(lay.customer_deliveries), "client_id")
 
 
-@query("f8_keyed_dedup", "SELECT DISTINCT Id, Email FROM raw_customers WHERE Id <> 'n/a'")
+@query(
+    "f8_keyed_dedup",
+    "SELECT Id, CASE WHEN Id <> 'n/a' THEN min(Email) END AS Email FROM raw_customers GROUP BY Id",
+)
 def _(lay):
-    return any_copy(lay.raw_customers.where("Id <> 'n/a'").select("Id", "Email"), "Id")
+    # All customers without an id share one key, of which any row may stay: its e-mail is not compared.
+    one = any_copy(lay.raw_customers.select("Id", "Email"), "Id")
+    return one.select("Id", F.when(F.col("Id") != "n/a", F.col("Email")).alias("Email"))
 
 
 @query("f9_whole_row_dedup", "SELECT DISTINCT Id, FirstName, LastName, Email, State FROM raw_customers")

@@ -7,22 +7,17 @@ from pyspark.sql import functions as F
 from ..operators.dedup import first_ranked, upsert
 from ..operators.ordered import neighbours, rank_by_day, running_total
 from ..plans import silver
-from ..session import staged
 from .registry import query
 from .tables import UPSERTED, upsert_sides
 
 SALE_ORDER = ["purchase_date", "client_id", "product_name", "price"]
 
 
-def stored_sales(lay):
-    """Sales with their state as a stored table: the operators below read their input twice."""
-    return staged(lay.state_sales, "state-sales")
-
-
 @query("g1_keep_latest", "SELECT * FROM silver_customers")
 def _(lay):
     keyed = silver.customers_typed(lay.customer_deliveries).dropna(subset=["client_id"])
-    newest = first_ranked(keyed, ["client_id"], [F.col("delivery_date").desc_nulls_last()])
+    ties = [F.col(name).asc() for name in keyed.columns if name not in ("client_id", "delivery_date")]
+    newest = first_ranked(keyed, ["client_id"], [F.col("delivery_date").desc_nulls_last(), *ties])
     return newest.drop("delivery_date")
 
 
@@ -41,13 +36,14 @@ def _(lay):
     "g3_keep_highest_version",
     """SELECT Id, State, version FROM (
          SELECT Id, State, CAST(right(delivery_date, 1) AS INT) AS version,
-                row_number() OVER (PARTITION BY Id ORDER BY delivery_date DESC) AS place
-         FROM raw_customers WHERE Id <> 'n/a') t WHERE place = 1""",
+                row_number() OVER (PARTITION BY Id ORDER BY delivery_date DESC, State NULLS LAST) AS place
+         FROM raw_customers) t WHERE place = 1""",
 )
 def _(lay):
     version = F.get(F.split("delivery_date", "-"), F.lit(2)).cast("int").alias("version")
-    versions = lay.raw_customers.where("Id <> 'n/a'").select("Id", "State", version)
-    return first_ranked(versions, ["Id"], [F.col("version").desc()])
+    versions = lay.raw_customers.select("Id", "State", version)
+    # Customers without an id share one key and tie in the version.
+    return first_ranked(versions, ["Id"], [F.col("version").desc(), F.col("State").asc_nulls_last()])
 
 
 @query(
@@ -56,7 +52,7 @@ def _(lay):
        FROM state_sales""",
 )
 def _(lay):
-    return running_total(stored_sales(lay), "state", "purchase_date", "price")
+    return running_total(lay.state_sales, "state", "purchase_date", "price")
 
 
 @query(
@@ -64,7 +60,7 @@ def _(lay):
     """SELECT *, rank() OVER (PARTITION BY state ORDER BY purchase_date) AS rank_in_state FROM state_sales""",
 )
 def _(lay):
-    return rank_by_day(stored_sales(lay), "state", "purchase_date", "rank_in_state")
+    return rank_by_day(lay.state_sales, "state", "purchase_date", "rank_in_state")
 
 
 IN_ORDER = "OVER (PARTITION BY state ORDER BY purchase_date, client_id, product_name, price)"
@@ -72,12 +68,12 @@ IN_ORDER = "OVER (PARTITION BY state ORDER BY purchase_date, client_id, product_
 
 @query("g6_previous_value", f"SELECT *, lag(price, 1) {IN_ORDER} AS prev_purchase FROM state_sales")
 def _(lay):
-    return neighbours(stored_sales(lay), ["state"], SALE_ORDER, "price", "prev_purchase", None)
+    return neighbours(lay.state_sales, ["state"], SALE_ORDER, "price", "prev_purchase", None)
 
 
 @query("g7_next_value", f"SELECT *, lead(price, 1) {IN_ORDER} AS next_purchase FROM state_sales")
 def _(lay):
-    return neighbours(stored_sales(lay), ["state"], SALE_ORDER, "price", None, "next_purchase")
+    return neighbours(lay.state_sales, ["state"], SALE_ORDER, "price", None, "next_purchase")
 
 
 @query("g8_source_priority", UPSERTED)
