@@ -10,11 +10,12 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows_of
+from conftest import plan_of, rows_of
 from strataflow import jobs
 from strataflow.plans import bronze
 from strataflow.queries.registry import DATABASE
 from strataflow.schemas import (
+    BRONZE_CUSTOMERS,
     GOLD_CUSTOMERS,
     RAW_CUSTOMERS,
     RAW_SALES,
@@ -27,7 +28,7 @@ from strataflow.session import fresh_path, shared_folder
 from strataflow.sinks import merge_into, overwrite, overwrite_days, overwrite_partitioned, plan_text, preview
 from strataflow.sinks import replace_table
 from strataflow.sources import attach_files, attach_files_sql, csv_delivery, drop_void_columns, json_lines
-from strataflow.sources import split_malformed, with_delivery_date
+from strataflow.sources import parquet, split_malformed, with_delivery_date
 from strataflow.streaming import ingest_new_files, reload_days
 
 
@@ -249,3 +250,70 @@ def test_only_a_local_master_may_do_without_a_shared_folder():
 def test_merge_without_a_table_needs_the_old_snapshot(spark, folder):
     with pytest.raises(ValueError, match="old snapshot"):
         jobs.merge_customers(spark, f"{folder}/none", "no_such_table", f"{folder}/new", since="2022-09-02")
+
+
+def test_a_bronze_folder_has_one_owner(spark, folder):
+    put(f"{folder}/raw", "2022-08-1/a.csv", CUSTOMERS + "1,A,,a@x,2022-08-1,Ohio\n")
+    raw, batch, stream, state = (f"{folder}/{name}" for name in ("raw", "batch", "stream", "state"))
+    jobs.customers_to_bronze(spark, raw, batch)
+    assert jobs.ingest_customers(spark, raw, stream, state) == {"rows_in": 1}
+    with pytest.raises(ValueError, match="incremental load"):
+        jobs.customers_to_bronze(spark, raw, stream)
+    with pytest.raises(ValueError, match="snapshot"):
+        jobs.ingest_customers(spark, raw, batch, f"{folder}/other")
+    for path in (batch, stream):
+        assert jobs.customers_to_silver(spark, path, f"{folder}/silver")["rows_out"] == 1
+
+
+def test_a_merge_reads_the_folders_of_new_dumps_only(spark, folder):
+    for day in (1, 2):
+        put(f"{folder}/raw", f"2022-08-{day}/a.csv", CUSTOMERS + f"{day},A,,a@x,2022-08-1,Ohio\n")
+    put(f"{folder}/raw", "undated/a.csv", CUSTOMERS + "3,A,,a@x,2022-08-1,Ohio\n")
+    assert jobs.customers_to_bronze(spark, f"{folder}/raw", f"{folder}/bronze")["undated"] == 1
+    dumps = parquet(spark, f"{folder}/bronze", schema=BRONZE_CUSTOMERS)
+    assert dumps.dtypes[-1] == ("delivery_date", "date") and dumps.where("delivery_date IS NULL").count() == 1
+    new = dumps.where("delivery_date >= date'2022-08-02'")
+    assert new.count() == 1 and "PartitionFilters: [isnotnull(delivery_date" in plan_of(new)
+
+
+def test_malformed_lines_of_jobs_go_to_the_quarantine(spark, folder):
+    put(f"{folder}/s", "2022-09-1/a.csv", SALES + "1,2022-09-1,TV,5\n2,2022-09-1\n3,2022-09-1,TV,5,extra\n")
+    put(f"{folder}/c", "2022-09-1/a.csv", CUSTOMERS + "1,A,,a@x,2022-08-1,Ohio\n2\n")
+    put(f"{folder}/p", "a.json", json.dumps({"email": "a@x"}) + "\nnot json\n")
+    for job, raw, bad in ((jobs.sales_to_bronze, "s", 2), (jobs.customers_to_bronze, "c", 1), (jobs.profiles_to_silver, "p", 1)):
+        counts = job(spark, f"{folder}/{raw}", f"{folder}/{raw}-out", f"{folder}/{raw}-bad")
+        assert (counts["malformed"], counts["rows_in"], counts["rows_out"]) == (bad, 1, 1)
+        assert spark.read.parquet(f"{folder}/{raw}-bad").where("_malformed_line IS NOT NULL").count() == bad
+
+
+@pytest.mark.parametrize("profile", ["strict", "lenient", "normalised"])
+def test_sales_of_every_profile_reach_gold(spark, folder, profile):
+    put(f"{folder}/s", "2022-09-1/a.csv", SALES + "1,2022-09-01,TV,609$\n")
+    put(f"{folder}/c", "2022-09-1/a.csv", CUSTOMERS + "1,A,,a@x,2022-08-1,Ohio\n")
+    put(f"{folder}/p", "a.json", json.dumps({"email": "a@x", "full_name": "Ann Lee"}) + "\n")
+    jobs.sales_to_bronze(spark, f"{folder}/s", f"{folder}/bs")
+    jobs.sales_to_silver(spark, f"{folder}/bs", f"{folder}/ss", profile)
+    jobs.customers_to_bronze(spark, f"{folder}/c", f"{folder}/bc")
+    jobs.customers_to_silver(spark, f"{folder}/bc", f"{folder}/sc")
+    assert jobs.sales_to_gold(spark, f"{folder}/ss", f"{folder}/sc", f"{folder}/p", f"{folder}/gold")["rows"] == 1
+    assert float(spark.read.parquet(f"{folder}/gold").first()["price"]) == 609
+
+
+def test_external_tables_are_replaced_and_schemas_made(spark, folder, database):
+    name = f"{database}.x_{folder[-8:]}"
+    for k in (1, 2):
+        overwrite(sales(spark, (k, "2022-09-01", "1")), f"{folder}/{k}")
+        attached = attach_files(spark, name, f"{folder}/{k}", spark.read.parquet(f"{folder}/{k}").schema)
+        assert [r.client_id for r in attached.collect()] == [k]
+    assert spark.read.parquet(f"{folder}/1").count() == 1
+    made = f"made_{folder[-8:]}".replace("-", "_")
+    replace_table(sales(spark, (1, "2022-09-01", "1")), f"{made}.t", location=f"{folder}/t")
+    assert spark.table(f"{made}.t").count() == 1
+    spark.sql(f"DROP SCHEMA {made} CASCADE")
+
+
+def test_ingest_counts_every_micro_batch(spark, folder):
+    for k in range(130):
+        put(f"{folder}/raw", f"2022-08-1/{k}.csv", SALES + f"{k},2022-08-1,TV,1\n")
+    args = (f"{folder}/raw", f"{folder}/bronze", f"{folder}/state", RAW_SALES, bronze.sales_bronze)
+    assert ingest_new_files(spark, *args, max_files=1) == 130
