@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from collections import Counter
+
 import corpus_pipeline
 import public_tokenizers
 
@@ -32,3 +34,21 @@ def test_run_gives_the_ids(spark):
     assert corpus_pipeline.ORACLE_SQL is None and public_tokenizers
     df = corpus_pipeline.run(spark, TESTDATA)
     assert df.columns == ["doc_id", "lang", "source", "n_tokens", "ids"] and df.count() > 0
+
+
+def test_mixing_gives_every_row_as_often_as_it_is_drawn(spark):
+    texts = [(None if i % 3 == 0 else i if i % 3 == 1 else i // 30, f"w{i} " * (1 + i % 7)) for i in range(600)]
+    docs = [(i, t.strip(), "en", f"s{k % 2}", "x") for k, (i, t) in enumerate(texts)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, _row string").repartition(7)
+    got = corpus_pipeline.mix_sources(spark, docs, TESTDATA)
+    assert got.columns == docs.columns
+    got, plan = got.collect(), mixing.DOCUMENTS
+    leaves = mixing.budgets(mixing.counted(docs, plan), plan).collect()
+    spent, often = Counter(), Counter(r.text for r in got)
+    for r in got:
+        spent[r.source] += len(r.text.split())
+    assert all(r.budget - 7 < spent[r.source] <= r.budget for r in leaves)  # short by less than a document
+    for source in ("s0", "s1"):  # texts are unique, so these are counts of rows
+        counts = {often[r.text] for r in docs.where(f"source = '{source}'").collect()}
+        assert max(counts) - min(counts) <= 1
+    assert sum(r.doc_id is None for r in got) > 100
