@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import staged
-from .common import text_batches, without_ids
+from .common import text_batches, unused, without_ids
 from .components import between, joined_up
 from .words import mix, shingles, stream, word_hashes
 
@@ -302,6 +302,19 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p: P
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p: Params = Params()) -> DataFrame:
-    """``docs`` with one document of each group of near-duplicates, the one with the smallest id."""
-    dropped = groups(docs, id_col, text_col, p).where("NOT kept AND doc_id IS NOT NULL")
-    return without_ids(docs, staged(dropped.select(F.col("doc_id").alias(id_col)).distinct(), "dropped"), id_col)
+    """``docs`` with one row of each group of near-duplicates, the one with the smallest id.
+
+    Rows are linked by a mark of their own, not by their id: a row without an id is linked like others, and
+    of rows that repeat an id only those go that are near copies themselves. Rows without an id stay only
+    where their group has none with one. Texts without words all stay.
+    """
+    mark = unused(docs.columns, "row")
+    marked = staged(docs.withColumn(mark, F.monotonically_increasing_id()), "marked")
+    found = groups(marked, mark, text_col, p).where("n_shingles > 0").select(F.col("doc_id").alias("node"), "component_id")
+    found = found.join(marked.select(F.col(mark).alias("node"), F.col(id_col).alias("id")), "node")
+    found = staged(found, "grouped")
+    first = found.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull(), "id", "node")).alias("kept"))
+    # By mark, of which each row has its own; by component a large group would meet in one task.
+    dropped = found.select("node").join(first.select("kept.node"), "node", "left_anti")
+    left = without_ids(marked, staged(dropped.select(F.col("node").alias(mark)), "dropped"), mark)
+    return left.select(*[F.col(f"`{c}`") for c in docs.columns])

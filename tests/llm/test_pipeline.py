@@ -52,3 +52,16 @@ def test_mixing_gives_every_row_as_often_as_it_is_drawn(spark):
         counts = {often[r.text] for r in docs.where(f"source = '{source}'").collect()}
         assert max(counts) - min(counts) <= 1
     assert sum(r.doc_id is None for r in got) > 100
+
+
+def test_near_copies_are_told_by_row(spark, odd):
+    base = [f"word{i}" for i in range(60)]
+    near, other = " ".join([*base[:-1], "own"]), " ".join(f"other{i}" for i in range(60))
+    rows = [(2, " ".join(base)), (5, near), (5, other), (None, other + " end"), (None, "no " + other), (None, "a b c d e"), (None, "A b c d e"), (6, None), (6, "")]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, row string")
+    got = corpus_pipeline.near_copies(spark, docs, TESTDATA)
+    assert got.columns == docs.columns
+    got = Counter((r.doc_id, r.text and r.text.lower()) for r in got.collect())
+    assert got == Counter([(2, rows[0][1]), (5, other), (None, "a b c d e"), (6, None), (6, "")])
+    left = corpus_pipeline.near_copies(spark, odd, TESTDATA)
+    assert sorted(map(str, (r.doc_id for r in left.collect()))) == sorted(map(str, [1, 4, 5, 6, 7, 8, 9, 10, 20, None]))
