@@ -39,10 +39,14 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, lang, source, n_tokens, ids``."""
+    """``doc_id, lang, source, n_tokens, ids``. An error if the ids of a text don't decode to its bytes."""
     codec = BytePairEncoder(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    ids = codec.encode(F.coalesce("text", F.lit("")))
-    coded = docs.select("doc_id", "lang", "source", ids.alias("ids"))
+    text = F.coalesce("text", F.lit(""))
+    coded = docs.select("doc_id", "lang", "source", text.cast("binary").alias("bytes"), codec.encode(text).alias("ids"))
+    coded = coded.withColumn("decoded", codec.decode("ids"))
+    wrong = F.raise_error(F.concat(F.lit("ids do not decode to the text of document "), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
+    ids = F.when(F.col("decoded") == F.col("bytes"), F.col("ids")).otherwise(wrong.cast("array<int>"))
+    coded = coded.select("doc_id", "lang", "source", ids.alias("ids"))
     return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 

@@ -4,6 +4,8 @@ from collections import Counter
 
 import corpus_pipeline
 import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
 
 from conftest import TESTDATA
 from llm.test_llm_operators import brute_copies, brute_groups, brute_measures, library  # noqa: F401
@@ -65,3 +67,11 @@ def test_near_copies_are_told_by_row(spark, odd):
     assert got == Counter([(2, rows[0][1]), (5, other), (None, "a b c d e"), (6, None), (6, "")])
     left = corpus_pipeline.near_copies(spark, odd, TESTDATA)
     assert sorted(map(str, (r.doc_id for r in left.collect()))) == sorted(map(str, [1, 4, 5, 6, 7, 8, 9, 10, 20, None]))
+
+
+def test_ids_are_decoded_to_the_text(spark, odd, library, monkeypatch):  # noqa: F811
+    got = corpus_pipeline.token_ids(spark, odd, TESTDATA).collect()
+    assert sorted(r.ids for r in got) == sorted(library.encode_ordinary(r.text or "") for r in odd.collect())
+    monkeypatch.setattr(corpus_pipeline.BytePairEncoder, "decode", lambda self, ids: F.lit("the same").cast("binary"))
+    with pytest.raises(Exception, match="ids do not decode to the text of document"):
+        corpus_pipeline.token_ids(spark, odd, TESTDATA).collect()
