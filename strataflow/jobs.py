@@ -187,7 +187,7 @@ def top_state_report(spark: SparkSession, sales: str, table: str, k: int = 1) ->
 
 def top_state(spark: SparkSession, sales: str, table: str, k: int = 1) -> dict:
     """The last question of the chain, as a job: the first ``k`` states with their counts."""
-    return {"top": [row.asDict() for row in top_state_report(spark, sales, table, k).collect()]}
+    return {"top": [row.asDict() for row in top_state_report(spark, sales, table, k).take(k)]}
 
 
 def _dropped(rows_in: int, rows_out: int) -> Counts:

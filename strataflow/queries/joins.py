@@ -104,7 +104,7 @@ def _(lay):
        LEFT JOIN nation n ON s.state = n.n_name""",
 )
 def _(lay):
-    """The other way of the same join, for a lookup above the row bound."""
+    """The same join as it is planned without the caller's word: by the size Spark measures."""
     nations = lay.read("nation").select(F.col("n_name").alias("state"), "n_regionkey")
     return lookup_join(lay.state_sales.select("client_id", "price", "state"), nations, "state", broadcast=False)
 

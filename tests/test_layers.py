@@ -166,6 +166,9 @@ def test_lookup_join_leaves_the_choice_to_spark(spark):
         assert "BroadcastHashJoin" not in plain._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastHashJoin" in told._jdf.queryExecution().executedPlan().toString()
         assert rows_of(plain) == rows_of(told) == rows_of(facts.join(lookup, "k", "left"))
+        for bound in ({"rows": 4}, {"size": 40}):
+            large = lookup_join(facts, lookup, "k", broadcast=True, **bound)
+            assert "BroadcastHashJoin" not in large._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
