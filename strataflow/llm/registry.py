@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_path
-from . import chat, exact_dedup, mixing, near_dedup, pii, quality, sharding, token_files, url_filter
+from . import chat, exact_dedup, mixing, near_dedup, periodic, pii, quality, sharding, simhash, token_files, trie, url_filter
 from .byte_bpe import BytePairEncoder
-from .common import table
+from .common import WORD, table, text_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -251,3 +251,79 @@ SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, depth, ki
 )
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.formatted(chat.with_calls(table(spark, sf_dir, "conversations")), chat.ANSWER)
+
+
+@query("op11_simhash")
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.groups(table(spark, sf_dir, "documents"))
+    return found.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
+
+
+_CRC32 = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+           lambda x: CAST(ord(x) AS BIGINT))), lambda crc, b: list_reduce(list_prepend(xor(crc, b), CAST([0,1,2,3,4,5,6,7] AS BIGINT[])),
+           lambda v, k: xor(v >> 1, 3988292384 * (v & 1)))), 4294967295)"""
+
+
+@query(
+    "op12_conversation_trie",
+    f"""
+WITH own AS (
+  SELECT conv_id, g, points, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, g) - 1 AS place
+  FROM (SELECT conv_id, turn, md5(md5(coalesce(role, '')) || md5(coalesce(text, ''))) AS g,
+               length(coalesce(text, '')) AS points FROM conversations WHERE conv_id IS NOT NULL)),
+sizes AS (SELECT conv_id, count(*) AS own, {_CRC32} % 6 AS h, conv_id - conv_id % 100 AS base FROM own GROUP BY conv_id),
+members AS (
+  SELECT s.conv_id, s.base, s.h, least(s.h, coalesce(b.own, 0)) AS lent, greatest(s.own - s.h, 0) AS rest
+  FROM sizes s LEFT JOIN sizes b ON b.conv_id = s.base),
+laid AS (
+  SELECT m.conv_id, place + 1 AS depth, g, points FROM members m JOIN own o ON o.conv_id = m.base WHERE place < lent
+  UNION ALL
+  SELECT m.conv_id, place - h + lent + 1, g, points FROM members m JOIN own o ON o.conv_id = m.conv_id WHERE place >= h
+  UNION ALL SELECT conv_id, 0, '', 0 FROM members),
+known AS (SELECT conv_id, depth, points, string_agg(g, '') OVER (PARTITION BY conv_id ORDER BY depth) AS prefix FROM laid),
+paths AS (SELECT conv_id, depth, points, min(conv_id) OVER p AS node, count(*) OVER p AS n FROM known WINDOW p AS (PARTITION BY depth, prefix)),
+nodes AS (
+  SELECT p.conv_id, p.depth, u.node AS parent, p.n, (p.n - 1) * p.points AS saved
+  FROM paths p LEFT JOIN paths u ON u.conv_id = p.conv_id AND u.depth = p.depth - 1 WHERE p.node = p.conv_id),
+children AS (SELECT parent AS conv_id, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+leaves AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children USING (conv_id, depth)),
+sums AS (
+  SELECT p.node AS conv_id, p.depth, count(*) FILTER (l.n_children = 0) AS n_leaves, sum(l.saved) AS saved_tokens
+  FROM leaves l JOIN paths p ON p.conv_id = l.conv_id AND p.depth <= l.depth GROUP BY ALL),
+over AS (
+  SELECT p.node AS conv_id, p.depth, string_agg(CAST(p.conv_id AS VARCHAR), ',' ORDER BY p.conv_id) AS ids
+  FROM paths p JOIN members m ON m.conv_id = p.conv_id AND p.depth = m.lent + m.rest GROUP BY ALL)
+SELECT conv_id, CAST(depth AS BIGINT) AS depth, parent AS parent_conv_id, n AS n_convs, n_children, n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM leaves JOIN sums USING (conv_id, depth) LEFT JOIN over USING (conv_id, depth)""",
+)
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
+def _made_periodic(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: of every tenth hash of an id the text repeats its words from some word on, as the contract has it."""
+    docs = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(0))
+    docs = docs.withColumn("own", F.when(F.col("h") % 10 == 0, words)).withColumn("n", F.size("own"))
+    docs = docs.withColumn("g", F.expr("h div 10")).withColumn("a", F.expr("CAST(g % greatest(n, 1) AS INT)"))
+    docs = docs.withColumn("p", F.expr("CAST(1 + (n - a) div (3 + g % 8) AS INT)"))
+    repeated = F.expr("array_join(transform(own, (w, i) -> if(i < a, w, own[a + (i - a) % p])), ' ')")
+    return docs.select("doc_id", F.when(F.col("n") > 0, repeated).otherwise(F.col("text")).alias("text"))
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _made_periodic(table(spark, sf_dir, "documents"))
+    text_batches(spark)
+    found = docs.select("doc_id", periodic.found_in(F.col("text")).alias("f")).select("doc_id", "f.runs", "f.collapsed")
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", *[r[name].cast("string") for name in ("start", "length", "period")]))
+    lines = F.array_join(F.transform(lines, lambda line: F.concat(line, F.lit("\n"))), "")
+    found = found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+    longest = {"start": -F.col("best.col2"), "length": F.col("best.length"), "period": -F.col("best.col3")}
+    found = found.withColumns(longest).withColumn("exponent_milli", F.expr("1000 * length div period"))
+    return found.select("doc_id", "n_runs", *longest, "exponent_milli", "runs_sha256", "collapsed_sha256")
