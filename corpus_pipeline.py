@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from strataflow.llm.byte_bpe import BytePairEncoder
 from strataflow.llm.exact_dedup import exact_dedup
 from strataflow.llm.mixing import mixed
-from strataflow.llm.near_dedup import near_dedup
+from strataflow.llm.near_dedup import Params, near_dedup
 from strataflow.llm.quality import quality_filter
 from strataflow.session import staged
 
@@ -29,13 +29,13 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return near_dedup(docs)
+    """One document of each group of near-duplicates: five words to a shingle, a similarity of 0.8 or more."""
+    return near_dedup(docs, p=Params(width=5))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the budget of their source draws them."""
-    return mixed(docs, nameless=True)
+    return mixed(docs)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
