@@ -2,8 +2,12 @@
 
 Every document is measured and held against rules. The failures of each rule are counted by host, and the
 host's rate is shrunk towards the rate of all hosts by a beta prior whose strength is estimated from the
-spread of the rates (method of moments). A host whose shrunk rate is surely above a limit is rejected, and
-with it its documents; a host with few documents stays near the rate of all.
+spread of the rates (method of moments), so a host with few documents stays near the rate of all.
+
+The verdict on a host is joined back to its documents in two grades. A host whose shrunk rate under any rule is
+surely above a limit is rejected with all it has. A host whose shrunk rate under a rule stands out from the
+corpus is strict for that rule: its documents that fail the rule go, while on other hosts the rule alone rejects
+nothing. So clean documents of a doubtful host stay.
 """
 
 from __future__ import annotations
@@ -31,8 +35,10 @@ RULES = {
     "word_length": "n_words > 0 AND (word_chars < 3 * n_words OR word_chars > 10 * n_words)",
 }
 BASE = ["few_words", "repeated_words"]  # rules that reject the document itself
+STRICT = [rule for rule in RULES if rule not in BASE]  # rules that reject documents of hosts that stand out by them
 LIMIT = 0.8  # of a host's failure rate
 DEVIATIONS = 2.0  # by which the shrunk rate has to be above the limit
+OUTSTANDING = 0.25  # deviations by which it has to be above the rate of the corpus for the host to be strict
 
 _SPACES = b" \t\n\x0b\x0c\r"
 _SYMBOLS = b"#*$%&|<>"
@@ -82,8 +88,11 @@ def fails(rules: list[str]) -> Column:
     return F.expr(" OR ".join(f"({RULES[rule]})" for rule in rules))
 
 
-def bad_hosts(measures: DataFrame) -> DataFrame:
-    """``host`` of those rejected, from rows of ``host`` and the measures. Rows without a host count for none."""
+def host_verdicts(measures: DataFrame) -> DataFrame:
+    """``host, rejected, strict_<rule>`` of hosts that any verdict falls on, from rows of ``host`` and the measures.
+
+    Rows without a host count for none.
+    """
     counts = staged(
         measures.where("host IS NOT NULL")
         .groupBy("host")
@@ -95,14 +104,23 @@ def bad_hosts(measures: DataFrame) -> DataFrame:
         *[F.sum(f"k_{r}").alias(f"k_{r}") for r in RULES],
         *[F.sum(F.col(f"k_{r}").cast("double") * F.col(f"k_{r}") / F.col("n")).alias(f"q_{r}") for r in RULES],
     ).first()
-    rejected = [F.lit(False)]
+    rejected, strict = F.lit(False), dict.fromkeys(STRICT, F.lit(False))
     for rule in RULES if totals["n"] else ():
         a, strength = prior(totals["n"], totals["nn"], totals["hosts"], totals[f"k_{rule}"], totals[f"q_{rule}"])
         weight = F.col("n") + F.lit(strength)
         rate = (F.col(f"k_{rule}") + F.lit(a)) / weight
         spread = F.sqrt(rate * (1 - rate) / (weight + 1))
-        rejected.append(rate - DEVIATIONS * spread > LIMIT)
-    return counts.where(reduce(Column.__or__, rejected)).select("host")
+        rejected = rejected | (rate - DEVIATIONS * spread > LIMIT)
+        if rule in STRICT:
+            strict[rule] = rate - OUTSTANDING * spread > F.lit(a / strength)
+    flags = {"rejected": rejected, **{f"strict_{rule}": flag for rule, flag in strict.items()}}
+    return counts.select("host", *[flag.alias(name) for name, flag in flags.items()]).where(" OR ".join(flags))
+
+
+def host_failed() -> Column:
+    """Whether the verdict on its host rejects a document, from the measures and the verdict (null: none)."""
+    failed = [F.col("rejected")] + [F.col(f"strict_{rule}") & fails([rule]) for rule in STRICT]
+    return F.coalesce(reduce(Column.__or__, failed), F.lit(False))
 
 
 def prior(n: int, nn: int, hosts: int, k: int, squares: float) -> tuple[float, float]:
@@ -130,9 +148,7 @@ def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host
         F.col(id_col).alias("doc_id"), F.col(host_col).cast("string").alias("host"), measure(F.col(text_col)).alias("m")
     )
     rows = staged(rows.select("doc_id", "host", "m.*"), "measures")
-    bad = bad_hosts(rows).withColumn("host_failed", F.lit(True))
-    rows = rows.join(bad, "host", "left").withColumn("base_failed", fails(BASE))
-    rows = rows.withColumn("host_failed", F.coalesce("host_failed", F.lit(False)))
+    rows = rows.join(host_verdicts(rows), "host", "left").withColumns({"base_failed": fails(BASE), "host_failed": host_failed()})
     kept = ~(F.col("base_failed") | F.col("host_failed"))
     return rows.select("doc_id", *MEASURES, "base_failed", "host_failed", kept.alias("kept"))
 
@@ -143,13 +159,15 @@ def quality_filter(docs: DataFrame, text_col: str = "text", host_col: str = "sou
     Texts are measured twice, once for the hosts and once for the rows, rather than moved.
     """
     text_batches(docs.sparkSession)
-    m = unused(docs.columns, "measures")
-    bad = staged(bad_hosts(docs.select(F.col(host_col).cast("string").alias("host"), measure(F.col(text_col)).alias("m")).select("host", "m.*")), "bad_hosts")
-    fine = docs.withColumn(m, measure(F.col(text_col)))
-    failed = reduce(Column.__or__, [F.expr(_of(RULES[rule], m)) for rule in BASE])
-    fine = fine.where(~failed).drop(m)
-    host = unused(docs.columns, "host")
-    return fine.join(bad.withColumnRenamed("host", host), F.col(f"`{host_col}`").cast("string") == F.col(host), "left_anti")
+    m, host = unused(docs.columns, "measures"), unused(docs.columns, "host")
+    of_hosts = docs.select(F.col(host_col).cast("string").alias("host"), measure(F.col(text_col)).alias("m")).select("host", "m.*")
+    verdicts = staged(host_verdicts(of_hosts), "verdicts")
+    flags = {name: unused([*docs.columns, m, host], name) for name in verdicts.columns[1:]}
+    fine = docs.withColumn(m, measure(F.col(text_col))).where(~F.expr(" OR ".join(f"({_of(RULES[rule], m)})" for rule in BASE)))
+    fine = fine.join(verdicts.withColumnsRenamed({"host": host, **flags}), F.col(f"`{host_col}`").cast("string") == F.col(host), "left")
+    gone = [F.col(flags["rejected"])] + [F.col(flags[f"strict_{rule}"]) & F.expr(_of(RULES[rule], m)) for rule in STRICT]
+    fine = fine.where(~F.coalesce(reduce(Column.__or__, gone), F.lit(False)))
+    return fine.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def _of(rule: str, struct: str) -> str:

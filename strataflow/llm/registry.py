@@ -67,12 +67,15 @@ def _host_sql() -> str:
     bad = " OR ".join(
         f"rate_{r} - {quality.DEVIATIONS} * sqrt(rate_{r} * (1 - rate_{r}) / (w_{r} + 1)) > {quality.LIMIT}" for r in rules
     )
+    strict = ", ".join(
+        f"rate_{r} - {quality.OUTSTANDING} * sqrt(rate_{r} * (1 - rate_{r}) / (w_{r} + 1)) > mean_{r} AS strict_{r}" for r in quality.STRICT
+    )
     return f"""
 totals AS (SELECT sum(n) AS t, sum(n * n) AS nn, count(*) AS h, {totals} FROM hosts),
 shared AS (SELECT {shared} FROM totals),
 priors AS (SELECT {strength} FROM shared),
-rates AS (SELECT host, {rate} FROM hosts, priors),
-bad AS (SELECT host FROM rates WHERE {bad})"""
+rates AS (SELECT host, {rate}, {", ".join(f"mean_{r}" for r in rules)} FROM hosts, priors),
+flags AS (SELECT host, ({bad}) AS rejected, {strict} FROM rates)"""
 
 
 _QUALITY_SQL = rf"""
@@ -100,7 +103,8 @@ hosts AS (
   FROM measures WHERE host IS NOT NULL GROUP BY host),{_host_sql()},
 verdicts AS (
   SELECT *, ({quality.RULES["few_words"]}) OR ({quality.RULES["repeated_words"]}) AS base_failed,
-         host IS NOT NULL AND host IN (SELECT host FROM bad) AS host_failed FROM measures)
+         coalesce(rejected{"".join(f" OR strict_{r} AND ({quality.RULES[r]})" for r in quality.STRICT)}, false) AS host_failed
+  FROM measures LEFT JOIN flags USING (host))
 SELECT doc_id, {", ".join(quality.MEASURES)}, base_failed, host_failed, NOT base_failed AND NOT host_failed AS kept
 FROM verdicts"""
 
@@ -225,7 +229,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "op4_chat_format",
     r"""
-WITH ask AS (SELECT conv_id, turn + 1 AS turn, min(substr(text, 1, 60)) AS question FROM conversations GROUP BY ALL),
+WITH ask AS (SELECT conv_id, turn + 1 AS turn, min(text) AS question FROM conversations GROUP BY ALL),
 turns AS (
   SELECT c.*, a.question, e.turn IS NOT NULL AS earlier, 'call_' || c.conv_id || '_' || c.turn AS call_id
   FROM conversations c LEFT JOIN ask a USING (conv_id, turn)
