@@ -1,9 +1,12 @@
 """Personal data in texts: patterns, and a semi-Markov conditional random field that adds to them.
 
 The patterns find four kinds of spans. The field scores whole candidate segments by what they look like
-from end to end (shape, checks, what stands beside them) and chooses boundaries and kinds together, by
-dynamic programming over segments of at most MOST pieces. It is trained on stretches of the texts
-themselves, labelled by the patterns, and only ever adds spans: those it finds where no pattern's span is.
+from end to end (groups of digits, separators, what stands beside them) and chooses boundaries and kinds
+together, by dynamic programming over segments of at most MOST pieces. It is trained on stretches of the texts
+themselves in which the patterns' spans are rewritten in ways that the patterns miss (telephone numbers without
+a plus sign, in brackets or with dots, addresses with spaces, cards with other separators, addresses of eight
+hexadecimal groups), or replaced by dates, times, versions, amounts and serial numbers, which are no personal
+data. So it learns what the patterns can't say. It only ever adds spans: those it finds where no pattern's is.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ import re
 from bisect import bisect_right
 from collections.abc import Iterator
 from functools import cache
+from random import Random
 
 import numpy as np
 import pyarrow as pa
@@ -92,10 +96,10 @@ def patterns(text: str) -> list[Span]:
 
 _REGION = re.compile(r"[^\x20\x09-\x0D]+")
 _PIECE = re.compile(r"[0-9]+|[A-Za-z]+|[^\x20\x09-\x0D]|[\x20\x09-\x0D]")
-MOST = 20  # pieces in a segment
+MOST = 32  # pieces in a segment
 LONGEST = 96  # characters in one
-FEATURES = 22
-MARGIN = 2.0  # log odds by which a segment has to beat plain text
+MARGIN = 0.5  # log odds by which a segment has to beat plain text
+BLOCK = 2048  # pieces whose segments are scored at a time
 
 
 def regions(text: str) -> Iterator[tuple[int, int]]:
@@ -117,29 +121,51 @@ def regions(text: str) -> Iterator[tuple[int, int]]:
         yield start, end
 
 
+_HEX = re.compile(r"[0-9A-Fa-f]{0,4}")
+_DATE = re.compile(r"[0-9]{4}([-/.])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-/.])[0-9]{1,2}\2[0-9]{2,4}|[0-9]{4}-[0-9]{4}")
+_LABEL = re.compile(r"[A-Za-z0-9-]+")
+
+
+def _hexadecimal(part: str) -> bool:
+    """Colons between groups of up to four hexadecimal digits, all eight or some left out once."""
+    groups = part.split(":")
+    whole = len(groups) == 8 and "" not in groups
+    return (whole or (3 <= len(groups) <= 8 and part.count("::") == 1 and ":::" not in part)) and all(map(_HEX.fullmatch, groups))
+
+
 def features(text: str, start: int, end: int) -> list[int]:
     """Indices of what holds for a segment as a whole."""
     part = text[start:end]
-    digits = _digits(part)
-    before, after = text[start - 1 : start], text[end : end + 1]
-    groups = part.split(".")
-    numbers = len(groups) == 4 and all(g.isascii() and g.isdigit() for g in groups)
-    plain = not set(part) - set("0123456789 -")
-    name, sep, domain = part.partition("@")
+    before, after, then = text[start - 1 : start], text[end : end + 1], text[end + 1 : end + 2]
+    runs = [len(run) for run in re.findall("[0-9]+", part)]
+    n = sum(runs)
+    signs = {c for c in part if not c.isalnum()}
+    numeric = n > 0 and not any(c.isalpha() for c in part)
+    name, _, domain = part.partition("@")
+    mail = part.count("@") == 1 and bool(name.strip()) and bool(domain.strip())
+    labels = domain.strip().split(".") if mail else [""]
+    host = len(labels) > 1 and all(_LABEL.fullmatch(label) for label in labels) and labels[-1].isalpha()
+    dotted = numeric and len(runs) == 4 and part.count(".") == 3 and signs <= {".", " "}
+    v6 = ":" in part and _hexadecimal(part)
+    card, phone = numeric and 12 <= n <= 19, numeric and 9 <= n <= 15
     tests = (
         True,
-        before.isalnum(), after.isalnum(),
-        before in tuple("._%+-") if before else False, after == "-" or (after == "." and text[end + 1 : end + 2].isalnum()),
-        part.count("@") == 1 and bool(name), bool(sep) and bool(_DOMAIN.fullmatch(domain)), "@" in part,
-        numbers, numbers and _is_ip(part),
-        plain, plain and 12 <= len(digits) <= 19, plain and len(digits) >= 2 and luhn(digits),
-        part[0] == "+", part[0] == "+" and not set(part[1:]) - set("0123456789 ().-"), 9 <= len(digits) <= 15,
-        part[0] == "(", part.count(" ") > 4, part[-1].isdigit(), part[-1].isalpha(),
-        any(c.isalpha() for c in part) and not sep, len(digits) < 4,
-    )
+        before.isalnum(), after.isalnum(), bool(before) and before in "._%+-/:,(", bool(after) and (after in "-/:@_" or (after in ".," and then.isalnum())),
+        mail, mail and host, "@" in part and not (mail and host), mail and " " in name.strip(), mail and " " in domain.strip(),
+        dotted and max(runs) <= 3, dotted and max(runs) > 3, v6, v6 and n == 0,
+        numeric and bool(_DATE.fullmatch(part)), ":" in part and not v6,
+        card, card and luhn(_digits(part)), len(runs) > 2 and set(runs[:-1]) == {4}, numeric and not signs, numeric and len(signs) > 1,
+        phone, part[0] == "+", part[0] == "(" and ")" in part, numeric and runs[-3:] == [3, 3, 4], numeric and n == 10, numeric and runs[0] == 4 and runs[0] != n,
+        numeric and signs <= set(" ().-+/"), "," in part, len(runs) > 6, part[-1].isdigit(), part[-1].isalpha(),
+        not numeric and not mail and not v6, numeric and n < 7, part[0] in "+(" or part[0].isalnum(), numeric and "(" not in part and ")" in part,
+        dotted and " " in signs, "_" in signs or "/" in signs, bool(before) and not before.isspace(),
+    )
     return [i for i, holds in enumerate(tests) if holds]
 
 
+FEATURES = 39
+
+
 class Field:
     """A semi-Markov conditional random field with one vector of weights for each kind; plain text scores 0."""
 
@@ -147,16 +173,20 @@ class Field:
         self.weights = weights
 
     @staticmethod
-    def segments(text: str) -> tuple[list[int], list[tuple[int, int]], np.ndarray]:
-        """Boundaries between pieces, the candidate segments as pairs of their indices, and their features."""
-        cuts = [m.start() for m in _PIECE.finditer(text)] + [len(text)]
-        solid = [not text[c].isspace() for c in cuts[:-1]]
+    def segments(text: str, first: int = 0, many: int | None = None, cuts: list[int] | None = None):
+        """Boundaries between pieces, the candidate segments as pairs of their indices, and their features.
+
+        With ``many`` the segments that begin at so many pieces from ``first`` on.
+        """
+        cuts = cuts or [m.start() for m in _PIECE.finditer(text)] + [len(text)]
+        last = len(cuts) - 1
+        solid = [not text[c].isspace() for c in cuts[first : min(last, first + (many or last) + MOST)]]
         pairs = [
             (i, j)
-            for i in range(len(cuts) - 1)
-            if solid[i]
-            for j in range(i + 1, min(i + MOST, len(cuts) - 1) + 1)
-            if solid[j - 1] and 7 <= cuts[j] - cuts[i] <= LONGEST
+            for i in range(first, min(last, first + (many or last)))
+            if solid[i - first]
+            for j in range(i + 1, min(i + MOST, last) + 1)
+            if solid[j - 1 - first] and 7 <= cuts[j] - cuts[i] <= LONGEST
         ]
         table = np.zeros((len(pairs), FEATURES))
         for row, (i, j) in enumerate(pairs):
@@ -164,45 +194,56 @@ class Field:
         return cuts, pairs, table
 
     def best(self, text: str) -> list[Span]:
-        """The spans of the most likely segmentation that beat plain text by MARGIN each."""
-        cuts, pairs, table = self.segments(text)
-        if not pairs:
+        """The spans of the most likely segmentation that beat plain text by MARGIN each.
+
+        Segments are scored block by block, of which only those better than plain text are kept; the choice is one
+        over the whole text, so where the blocks meet makes no difference.
+        """
+        cuts = [m.start() for m in _PIECE.finditer(text)] + [len(text)]
+        ending: dict[int, list[tuple[int, float, int]]] = {}
+        for first in range(0, len(cuts) - 1, BLOCK):
+            _, pairs, table = self.segments(text, first, BLOCK, cuts)
+            if not pairs:
+                continue
+            scores = table @ self.weights.T
+            kinds, tops = scores.argmax(axis=1), scores.max(axis=1) - MARGIN
+            for row in np.flatnonzero(tops > 0).tolist():
+                i, j = pairs[row]
+                ending.setdefault(j, []).append((i, float(tops[row]), int(kinds[row])))
+        if not ending:
             return []
-        scores = table @ self.weights.T
-        kinds, tops = scores.argmax(axis=1), scores.max(axis=1) - MARGIN
-        ending: dict[int, list[int]] = {}
-        for row in np.flatnonzero(tops > 0):
-            ending.setdefault(pairs[row][1], []).append(int(row))
-        value, back = [0.0] * len(cuts), [-1] * len(cuts)
+        value, back = [0.0] * len(cuts), [(-1, -1)] * len(cuts)
         for j in range(1, len(cuts)):
             value[j] = value[j - 1]
-            for row in ending.get(j, ()):
-                if value[pairs[row][0]] + tops[row] > value[j]:
-                    value[j], back[j] = value[pairs[row][0]] + tops[row], row
+            for i, top, kind in ending.get(j, ()):
+                if value[i] + top > value[j]:
+                    value[j], back[j] = value[i] + top, (i, kind)
         found, j = [], len(cuts) - 1
         while j > 0:
-            if back[j] < 0:
+            i, kind = back[j]
+            if i < 0:
                 j -= 1
             else:
-                i = pairs[back[j]][0]
-                found.append((cuts[i], cuts[j], int(kinds[back[j]])))
+                found.append((cuts[i], cuts[j], kind))
                 j = i
         return found[::-1]
 
     @classmethod
-    def trained(cls, texts: list[str], rounds: int = 12, rate: float = 0.5, decay: float = 1e-3) -> Field:
-        """By the gradient of the likelihood (forwards and backwards over segments), with adaptive steps."""
+    def trained(cls, labelled: list[tuple[str, list[Span]]], rounds: int = 20, rate: float = 0.5, decay: float = 1e-3) -> Field:
+        """From texts with their spans, by the gradient of the likelihood (forwards and backwards over segments), with adaptive steps."""
         weights, squares = np.zeros((len(KINDS), FEATURES)), np.full((len(KINDS), FEATURES), 1e-6)
         prepared = []
-        for text in texts:
+        for text, spans in labelled:
             cuts, pairs, table = cls.segments(text)
             if pairs:
                 place = {pair: row for row, pair in enumerate(pairs)}
                 at = {c: i for i, c in enumerate(cuts)}
-                gold = [(place.get((at.get(a), at.get(b))), k) for a, b, k in _apart(patterns(text))]
+                gold = [(place.get((at.get(a), at.get(b))), k) for a, b, k in _apart(spans)]
                 prepared.append((len(cuts), np.array(pairs), table, [g for g in gold if g[0] is not None]))
+        random = np.random.default_rng(len(prepared))
         for _ in range(rounds):
-            for n, pairs, table, gold in prepared:
+            for k in random.permutation(len(prepared)):
+                n, pairs, table, gold = prepared[k]
                 expected = _marginals(n, pairs, table @ weights.T)
                 wanted = np.zeros_like(expected)
                 for row, kind in gold:
@@ -239,8 +280,80 @@ def _marginals(n: int, pairs: np.ndarray, scores: np.ndarray) -> np.ndarray:
     return np.exp(ahead[pairs[:, 0]][:, None] + scores + behind[pairs[:, 1]][:, None] - ahead[-1])
 
 
-def sample(docs: DataFrame, text_col: str, rows: int, stretches: int) -> list[str]:
-    """At most ``stretches`` stretches of up to 160 characters, from about ``rows`` texts picked by hash."""
+def _number(random: Random, digits: int) -> str:
+    return str(random.randint(1, 9)) + "".join(str(random.randint(0, 9)) for _ in range(digits - 1))
+
+
+def variant(kind: int, part: str, random: Random) -> str:
+    """A span of a kind as people also write it, mostly so that the patterns miss it."""
+    if kind == 0:
+        name, _, domain = part.partition("@")
+        return random.choice([f"{name} @ {domain}", f"{name}@ {domain}", f"{name} @{domain}", part])
+    if kind == 1:
+        if random.random() < 0.3:
+            return random.choice([". ", " .", "."]).join(part.split("."))
+        groups = [f"{random.randrange(1 << random.choice([4, 8, 16, 16])):{random.choice(['x', '04x'])}}" for _ in range(8)]
+        low = random.randint(1, 5)
+        short = ":".join(groups[:low]) + "::" + ":".join(groups[low : low + random.randint(1, 7 - low)])
+        return random.choice([":".join(groups), short]) if len(short) > 6 else ":".join(groups)
+    digits = _digits(part)
+    if kind == 2:
+        sign = random.choice([".", "/", "_", ". ", "", "-"])
+        return sign.join(digits[i : i + 4] for i in range(0, len(digits), 4))
+    country, (a, b, c) = random.choice(["1", "44", "49", "33"]), (digits[-10:-7], digits[-7:-4], digits[-4:])
+    a = a if len(a) == 3 else _number(random, 3)
+    own = [f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"{a} {b} {c}", f"({a}) {b} {c}", f"{a}/{b}-{c}"]
+    abroad = [f"00{country} {a} {b} {c}", f"{country}-{a}-{b}-{c}", f"+{country}/{a}/{b}-{c}", f"{country} ({a}) {b}-{c}", f"+{country} ({a}) {b}-{c}"]
+    return random.choice(own + abroad)
+
+
+def decoy(random: Random) -> str:
+    """Something of digits and signs that is no personal data."""
+    year, month, day = random.randint(1900, 2030), random.randint(1, 12), random.randint(1, 28)
+    serial = _number(random, random.randint(12, 19))
+    while luhn(serial):
+        serial = _number(random, random.randint(12, 19))
+    return random.choice(
+        [
+            f"{year}-{month:02}-{day:02}", f"{day:02}/{month:02}/{year}", f"{day}.{month}.{year}", f"{year}-{year + 9}",
+            f"{day % 24:02}:{random.randint(0, 59):02}:{random.randint(0, 59):02}", f"{day % 24:02}:{random.randint(0, 59):02}",
+            f"{random.randint(0, 9)}.{random.randint(0, 40)}.{random.randint(0, 9)}", f"v{random.randint(0, 9)}.{random.randint(10, 40)}-rc{day}",
+            f"{random.randint(1, 999)},{_number(random, 3)},{_number(random, 3)}", f"{_number(random, 6)}.{day:02}", serial, _number(random, random.randint(7, 9)),
+            f"{_number(random, 4)} {_number(random, 4)}", f"{_number(random, 3)} {_number(random, 3)}", f"@{random.choice('abc')}{_number(random, 6)}",
+            f"{_number(random, 2)}:{_number(random, 3)}-{_number(random, 3)}", f"978-{day % 9}-{_number(random, 2)}-{_number(random, 6)}-{month % 10}",
+        ]
+    )
+
+
+def rewritten(text: str, random: Random, keep: bool) -> tuple[str, list[Span]]:
+    """A text with the patterns' spans as variants, labelled, or (not ``keep``) as decoys, unlabelled."""
+    out, spans, at, size = [], [], 0, 0
+    for start, end, kind in _apart(patterns(text)):
+        part = variant(kind, text[start:end], random) if keep else decoy(random)
+        out += [text[at:start], part]
+        size += start - at
+        if keep:
+            spans.append((size, size + len(part), kind))
+        size += len(part)
+        at = end
+    return "".join(out) + text[at:], spans
+
+
+def labelled(stretches: list[str], seed: int = 7, times: int = 4) -> list[tuple[str, list[Span]]]:
+    """Each stretch as it is, labelled by the patterns, and several times rewritten with variants and with decoys."""
+    random = Random(seed)
+    out = [(text, patterns(text)) for text in stretches]
+    for text, spans in list(out):
+        if spans:
+            out += [rewritten(text, random, keep) for _ in range(times) for keep in (True, False)]
+    return out
+
+
+def sample(docs: DataFrame, text_col: str, rows: int, stretches: int, longest: int = 160, each: int = 20) -> list[str]:
+    """At most ``stretches`` stretches of up to ``longest`` characters, from about ``rows`` texts picked by hash.
+
+    Of a text the first ``each`` stretches count. All four bounds hold for the training alone.
+    """
 
     text_batches(docs.sparkSession)
 
@@ -248,7 +361,7 @@ def sample(docs: DataFrame, text_col: str, rows: int, stretches: int) -> list[st
     def found(texts: pa.Array) -> pa.Array:
         out = []
         for text in texts.to_pylist():
-            out.append([text[max(a - 1, 0) : b + 1] for a, b in regions(text or "") if b - a <= 160][:20])
+            out.append([text[max(a - 1, 0) : b + 1] for a, b in regions(text or "") if b - a <= longest][:each])
         return pa.array(out, pa.list_(pa.string()))
 
     total = max(docs.count(), 1)
@@ -262,12 +375,9 @@ def spans(text: str, field: Field) -> tuple[list[Span], list[Span]]:
     base = patterns(text)
     added = []
     for a, b in regions(text):
-        low, high = max(a - 1, 0), min(b + 1, len(text))
-        if b - a >= 7 and b - a <= 4096:
+        if b - a >= 7:
+            low, high = max(a - 1, 0), min(b + 1, len(text))
             added += [(s + low, e + low, k) for s, e, k in field.best(text[low:high])]
-        elif b - a > 4096:  # long tables of numbers, by overlapping windows
-            for at in range(a, b, 2048):
-                added += [(s + at, e + at, k) for s, e, k in field.best(text[at : min(at + 2048 + LONGEST, high)]) if s < 2048]
     taken: list[list[int]] = []  # what the patterns cover
     for s, e, _ in base:
         if taken and s < taken[-1][1]:
@@ -288,16 +398,16 @@ def _joined(found: list[Span]) -> str:
 
 
 def train(docs: DataFrame, text_col: str = "text", rows: int = 5_000, stretches: int = 400) -> Field:
-    """A field from a bounded sample of the texts, labelled by the patterns; both bounds are parameters."""
-    return Field.trained(sample(docs, text_col, rows, stretches))
+    """A field from a bounded sample of the texts, labelled and rewritten as ``labelled`` says; both bounds are parameters."""
+    return Field.trained(labelled(sample(docs, text_col, rows, stretches)))
 
 
 def found(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """For each row: ``doc_id, n_email, n_ip, n_card, n_phone`` (of the patterns), ``base, spans``.
 
     Spans are ``kind:start:end`` in code points, end exclusive, by start and then kind, joined by commas.
-    A null text is empty and has none; of two spans of one kind none overlap. Repeated rows count each;
-    an empty table gives no rows. Other columns are not read.
+    A null text is empty and has none; of two spans of one kind none overlap. A stretch of any length is
+    segmented as a whole. Repeated rows count each; an empty table gives no rows. Other columns are not read.
     """
 
     text_batches(docs.sparkSession)
