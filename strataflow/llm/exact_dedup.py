@@ -25,12 +25,30 @@ BLOCK_ROWS = 200_000  # distinct fingerprints aimed at in a block
 FILTER_ROWS = 2_000_000  # rows after which a task sends its filter and starts a new one
 
 
+def _varint(n: int) -> bytes:
+    out = bytearray()
+    while n >= 128:
+        out.append(n & 127 | 128)
+        n >>= 7
+    return bytes([*out, n])
+
+
+def _read_varint(raw: bytes, at: int) -> tuple[int, int]:
+    n = shift = 0
+    while raw[at] >= 128:
+        n |= (raw[at] & 127) << shift
+        at, shift = at + 1, shift + 7
+    return n | raw[at] << shift, at + 1
+
+
 @dataclass
 class QuotientFilter:
     """Fingerprints of ``bits`` bits with counts, packed: no slot is empty, so none has to shift.
 
-    ``occupied`` has a bit for each quotient, ``run_end`` one for each slot, set on the last remainder
-    of a quotient; remainders are sorted within their run.
+    ``occupied`` has a bit for each quotient, ``run_end`` one for each slot, set on the last remainder of a
+    quotient; remainders are sorted within their run. There are about as many quotients as fingerprints, so the
+    filter is as large as what it holds: as bytes, two to three bits of flags for each, the remainder in whole
+    bytes, and a byte for the count, of which those from 255 on stand in full behind the others.
     """
 
     bits: int
@@ -41,8 +59,9 @@ class QuotientFilter:
     counts: np.ndarray
 
     @classmethod
-    def of(cls, fingerprints: np.ndarray, counts: np.ndarray, bits: int, quotient_bits: int) -> QuotientFilter:
+    def of(cls, fingerprints: np.ndarray, counts: np.ndarray, bits: int) -> QuotientFilter:
         """From sorted distinct fingerprints."""
+        quotient_bits = max(1, min(bits - 1, len(fingerprints).bit_length()))
         rest = bits - quotient_bits
         quotients = fingerprints >> np.uint64(rest)
         occupied = np.zeros(1 << quotient_bits, dtype=bool)
@@ -53,35 +72,71 @@ class QuotientFilter:
         return cls(bits, quotient_bits, occupied, run_end, remainders, counts)
 
     def fingerprints(self) -> np.ndarray:
-        run = np.cumsum(np.append(0, self.run_end[:-1])).astype(np.int64)
+        run = np.cumsum(self.run_end) - self.run_end  # runs that ended before
         quotients = np.flatnonzero(self.occupied)[run].astype(np.uint64)
         return (quotients << np.uint64(self.bits - self.quotient_bits)) | self.remainders
 
+    @property
+    def width(self) -> int:
+        """Bytes of a remainder."""
+        return -(-(self.bits - self.quotient_bits) // 8)
+
     def to_bytes(self) -> bytes:
-        size = np.array([len(self.remainders)], dtype="<u8").tobytes()
+        head = _varint(len(self.remainders)) + bytes([self.quotient_bits])
         flags = np.packbits(self.occupied).tobytes() + np.packbits(self.run_end).tobytes()
-        return size + flags + self.remainders.astype("<u8").tobytes() + self.counts.astype("<u8").tobytes()
+        low = np.ascontiguousarray(self.remainders.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, : self.width]
+        small = np.minimum(self.counts, 255).astype(np.uint8)
+        return head + flags + low.tobytes() + small.tobytes() + self.counts[small == 255].astype("<u8").tobytes()
 
     @classmethod
-    def from_bytes(cls, raw: bytes, bits: int, quotient_bits: int) -> QuotientFilter:
-        n = int(np.frombuffer(raw, dtype="<u8", count=1)[0])
-        at, quotients = 8, 1 << quotient_bits
-        occupied = np.unpackbits(np.frombuffer(raw, np.uint8, -(-quotients // 8), at), count=quotients).astype(bool)
-        at += -(-quotients // 8)
-        run_end = np.unpackbits(np.frombuffer(raw, np.uint8, -(-n // 8), at), count=n).astype(bool)
+    def from_bytes(cls, raw: bytes, bits: int) -> QuotientFilter:
+        n, at = _read_varint(raw, 0)
+        quotient_bits, at = raw[at], at + 1
+
+        def flags(count: int, at: int) -> np.ndarray:
+            return np.unpackbits(np.frombuffer(raw, np.uint8, -(-count // 8), at), count=count).astype(bool)
+
+        occupied = flags(1 << quotient_bits, at)
+        at += -(-(1 << quotient_bits) // 8)
+        run_end = flags(n, at)
         at += -(-n // 8)
-        remainders = np.frombuffer(raw, "<u8", n, at)
-        return cls(bits, quotient_bits, occupied, run_end, remainders, np.frombuffer(raw, "<u8", n, at + 8 * n))
+        width = -(-(bits - quotient_bits) // 8)
+        remainders = np.zeros((n, 8), dtype=np.uint8)
+        remainders[:, :width] = np.frombuffer(raw, np.uint8, n * width, at).reshape(n, width)
+        at += n * width
+        counts = np.frombuffer(raw, np.uint8, n, at).astype(np.uint64)
+        large = counts == 255
+        counts[large] = np.frombuffer(raw, "<u8", int(large.sum()), at + n)
+        return cls(bits, quotient_bits, occupied, run_end, remainders.reshape(-1).view("<u8"), counts)
 
 
 def merged(filters: list[QuotientFilter]) -> QuotientFilter:
-    """One filter that counts what all of them counted."""
-    first = filters[0]
+    """One filter that counts what all of them counted.
+
+    Each comes out of its filter sorted, and numpy's stable sort merges what is sorted already.
+    """
     every = np.concatenate([f.fingerprints() for f in filters])
-    found, place = np.unique(every, return_inverse=True)
-    counts = np.zeros(len(found), dtype=np.uint64)
-    np.add.at(counts, place, np.concatenate([f.counts for f in filters]))
-    return QuotientFilter.of(found, counts, first.bits, first.quotient_bits)
+    order = np.argsort(every, kind="stable")
+    every, counts = every[order], np.concatenate([f.counts for f in filters])[order]
+    first = np.ones(len(every), dtype=bool)
+    np.not_equal(every[1:], every[:-1], out=first[1:])
+    starts = np.flatnonzero(first)
+    return QuotientFilter.of(every[starts], np.add.reduceat(counts, starts) if len(starts) else counts, filters[0].bits)
+
+
+def block_bits_for(rows: int, bits: int) -> int:
+    """Leading bits that name a block, so that a block has at most BLOCK_ROWS of ``rows`` fingerprints."""
+    return min(max(4, int(np.ceil(np.log2(max(rows, 1) / BLOCK_ROWS + 1))) + 3), bits - 1)
+
+
+def packed(found: np.ndarray, counts: np.ndarray, bits: int, block_bits: int) -> tuple[np.ndarray, list[bytes]]:
+    """Numbers of the blocks that sorted distinct fingerprints fall into, and the filter of each as bytes."""
+    inner = bits - block_bits
+    blocks = (found >> np.uint64(inner)).astype(np.int64)
+    names, starts = np.unique(blocks, return_index=True)
+    ends = np.append(starts[1:], len(found))
+    local = found & np.uint64((1 << inner) - 1)
+    return names, [QuotientFilter.of(local[a:b], counts[a:b], inner).to_bytes() for a, b in zip(starts, ends, strict=True)]
 
 
 def repeated(fingerprints: DataFrame, column: str, rows: int, bits: int = 64) -> DataFrame:
@@ -89,21 +144,12 @@ def repeated(fingerprints: DataFrame, column: str, rows: int, bits: int = 64) ->
 
     ``rows`` is about the number of rows; it sets the number of blocks.
     """
-    block_bits = max(4, int(np.ceil(np.log2(max(rows, 1) / BLOCK_ROWS + 1))) + 3)
-    block_bits = min(block_bits, bits - 1)
+    block_bits = block_bits_for(rows, bits)
     inner = bits - block_bits  # bits of a fingerprint within its block
-    quotient_bits = max(1, min(inner - 1, int(np.ceil(np.log2(max(rows, 1) + 1))) - block_bits))
 
     def pack(found: np.ndarray, counts: np.ndarray) -> pd.DataFrame:
-        blocks = (found >> np.uint64(inner)).astype(np.int64)
-        names, starts = np.unique(blocks, return_index=True)
-        ends = np.append(starts[1:], len(found))
-        local = found & np.uint64((1 << inner) - 1)
-        packed = [
-            QuotientFilter.of(local[a:b], counts[a:b], inner, quotient_bits).to_bytes()
-            for a, b in zip(starts, ends, strict=True)
-        ]
-        return pd.DataFrame({"block": names, "filter": packed})
+        names, filters = packed(found, counts.astype(np.uint64), bits, block_bits)
+        return pd.DataFrame({"block": names, "filter": filters})
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kept: list[np.ndarray] = []
@@ -116,7 +162,7 @@ def repeated(fingerprints: DataFrame, column: str, rows: int, bits: int = 64) ->
             yield pack(*np.unique(np.concatenate(kept), return_counts=True))
 
     def merge(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        whole = merged([QuotientFilter.from_bytes(raw, inner, quotient_bits) for raw in group["filter"]])
+        whole = merged([QuotientFilter.from_bytes(raw, inner) for raw in group["filter"]])
         more = whole.counts > 1
         found = whole.fingerprints()[more] | (np.uint64(key[0]) << np.uint64(inner))
         return pd.DataFrame({column: found.astype(np.int64), "copies": whole.counts[more].astype(np.int64)})
@@ -135,9 +181,9 @@ def fingerprint(sha256: Column, bits: int) -> Column:
     return F.shiftright(F.conv(F.substring(sha256, 1, 15), 16, 10).cast("long"), 60 - bits)
 
 
-def keep_order(n_chars: str, row_id: str) -> Column:
-    """Of equal texts the one with most code points stays, then the smallest id; a row without id comes last."""
-    return F.struct(F.col(n_chars), F.col(row_id).isNotNull(), -F.col(row_id))
+def keep_order(n_chars: Column, row_id: Column) -> Column:
+    """The least stays: of equal texts the one with most code points, then the smallest id; a row without id comes last."""
+    return F.struct(-n_chars, row_id.isNull(), row_id.alias("id"))
 
 
 def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = 60) -> DataFrame:
@@ -161,8 +207,8 @@ def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits
     groups = (
         base.join(suspects, "fingerprint")
         .groupBy("fingerprint", "norm")
-        .agg(F.max(keep_order("n_chars", "doc_id")).alias("best"), F.count(F.lit(1)).alias("group_size"))
-        .select("fingerprint", F.sha2("norm", 256).alias("text_sha256"), (-F.col("best.col3")).alias("best_id"), "group_size")
+        .agg(F.min(keep_order(F.col("n_chars"), F.col("doc_id"))).alias("best"), F.count(F.lit(1)).alias("group_size"))
+        .select("fingerprint", F.sha2("norm", 256).alias("text_sha256"), F.col("best.id").alias("best_id"), "group_size")
     )
     verdict = digests.join(groups, ["fingerprint", "text_sha256"], "left")
     alone = F.col("group_size").isNull()
@@ -183,15 +229,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text; among rows equal in length and id any one stays.
     """
     mark, norm = unused(docs.columns, "fingerprint"), unused(docs.columns, "norm")
-    order = F.struct(
-        F.char_length(F.coalesce(F.col(text_col), F.lit(""))), F.col(id_col).isNotNull(), -F.col(id_col)
-    )
+    order = keep_order(F.char_length(F.coalesce(F.col(text_col), F.lit(""))), F.col(id_col))
     marked = docs.withColumn(norm, normalised(F.col(text_col)))
     marked = marked.withColumn(mark, fingerprint(F.sha2(norm, 256), bits))
     prints = staged(marked.select(mark), "prints")
     suspects = staged(repeated(prints, mark, prints.count(), bits).select(mark), "suspects")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    several = marked.join(suspects, mark).groupBy(mark, norm).agg(F.max_by(row, order).alias("row"))
+    several = marked.join(suspects, mark).groupBy(mark, norm).agg(F.min_by(row, order).alias("row"))
     return marked.join(suspects, mark, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(
         several.select("row.*")
     )
