@@ -103,16 +103,16 @@ def budgets(rows: DataFrame, mix: Mix) -> DataFrame:
 
 
 def counted(docs: DataFrame, mix: Mix, id_col: str = "doc_id", text_col: str = "text", mark: str | None = None) -> DataFrame:
-    """``doc_id``, the levels of the tree and ``n_tokens``, the words of the text.
+    """``doc_id``, the levels of the tree, ``n_tokens``, the words of the text, and ``_name``, the id or else a hash of the text.
 
-    Where ``mark`` names a column of row marks, also ``_row``, the mark, and ``_name``, the id or else a hash of the text.
+    Where ``mark`` names a column of row marks, also ``_row``, the mark.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     words = F.regexp_count(text, F.lit(WORD)).cast("long")
     levels = [F.expr(column).cast("string").alias(level) for level, column in mix.tree.items()]
     name = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("text "), F.xxhash64(text).cast("string")))
-    marks = [F.col(mark).alias("_row"), name.alias("_name")] if mark else []
-    return staged(docs.select(F.col(id_col).alias("doc_id"), *levels, words.alias("n_tokens"), *marks), "counted")
+    marks = [F.col(mark).alias("_row")] if mark else []
+    return staged(docs.select(F.col(id_col).alias("doc_id"), *levels, words.alias("n_tokens"), name.alias("_name"), *marks), "counted")
 
 
 def drawn(
@@ -123,13 +123,13 @@ def drawn(
     Tokens are words [^\\x20\\x09-\\x0D]+. A leaf's prefix ends before the first document that goes beyond
     its budget, so what is drawn falls short of it by less than one document. Null levels are leaves like
     others. Texts without words, null ones too, cost nothing; a leaf with none but these gives all of
-    them once. Rows that repeat an id take part each, next to each other. An empty table gives no rows.
-    With ``mark``, a column of row marks, ``_row`` has the mark; it decides last in the order, in which
-    rows without an id then have places of their own, by a hash of the text.
+    them once. Rows that repeat an id take part each, next to each other; rows without an id have places of
+    their own, by a hash of the text. An empty table gives no rows. With ``mark``, a column of row marks, ``_row``
+    has the mark; it decides last in the order.
     """
     levels = list(mix.tree)
     rows = counted(docs, mix, id_col, text_col, mark)
-    name, marks = ("_name", ["_row"]) if mark else ("doc_id", [])
+    marks = ["_row"] if mark else []
     leaves = budgets(rows, mix).withColumns(
         {
             "full": F.expr("CASE WHEN tokens = 0 THEN 1L ELSE budget div tokens END"),
@@ -139,7 +139,7 @@ def drawn(
     )
     leaves = leaves.select(*levels, "full", "rest", "digits")
     placed = _same(rows, leaves, levels).withColumn(
-        "place", F.md5(F.concat_ws(":", F.lit(str(mix.seed)), F.col("full").cast("string"), F.col(name).cast("string")).cast("binary"))
+        "place", F.md5(F.concat_ws(":", F.lit(str(mix.seed)), F.col("full").cast("string"), F.col("_name")).cast("binary"))
     )
     placed = placed.withColumn("slice", F.expr("substring(place, 1, digits)"))
     sliced = [*levels, "slice"]
@@ -154,20 +154,15 @@ def drawn(
     return ends.select("doc_id", *levels, "n_tokens", F.explode(epochs).alias("epoch"), *marks)
 
 
-def mixed(
-    docs: DataFrame, mix: Mix = DOCUMENTS, id_col: str = "doc_id", text_col: str = "text", nameless: bool = False
-) -> DataFrame:
+def mixed(docs: DataFrame, mix: Mix = DOCUMENTS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents drawn, as often as they are drawn, with the columns of ``docs``.
 
-    Rows are drawn by a mark of their own, so those that repeat an id are drawn each by itself. Rows
-    without an id are drawn like others; they are given with ``nameless`` and left out without it, and then
-    the words drawn are fewer than the budgets.
+    Rows are drawn by a mark of their own, so those that repeat an id are drawn each by itself, and rows without
+    an id like others.
     """
     mark, epoch = unused(docs.columns, "row"), unused(docs.columns, "epoch")
     marked = staged(docs.withColumn(mark, F.monotonically_increasing_id()), "marked")
     often = drawn(marked, mix, id_col, text_col, mark)
-    if not nameless:
-        often = often.where("doc_id IS NOT NULL")
     # What is drawn grows with the corpus: it is never a side to broadcast.
     chosen = staged(often.select(F.col("_row").alias(mark), F.col("epoch").alias(epoch)), "drawn").hint("merge")
     return marked.join(chosen, mark).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -17,7 +17,7 @@ from ..session import staged
 from .common import unused
 
 RANGE_ROWS = 250_000  # rows aimed at in a range
-SAMPLES = 24  # drawn for each range; 16 bytes each on the driver
+SAMPLES = 24  # drawn for each range; 24 bytes each on the driver
 ROUNDS = 8  # of subdividing
 
 
@@ -40,30 +40,33 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark:
     )
 
 
+KEY = ["k1", "k2", "row"]
+
+
 def _sampled(rows: DataFrame, total: int, wanted: int, seed: int) -> np.ndarray:
     """About ``wanted`` keys, drawn with a chance in proportion to size; repeatable."""
-    unit = F.pmod(F.xxhash64("k1", "k2", "row", F.lit(seed)), F.lit(1 << 52)) / F.lit(float(1 << 52))
-    chosen = rows.where(unit * F.lit(float(total)) < F.col("size") * F.lit(float(wanted))).select("k1", "k2").toArrow()
-    return np.rec.fromarrays([chosen["k1"].to_numpy(), chosen["k2"].to_numpy()], names="k1,k2")
+    unit = F.pmod(F.xxhash64(*KEY, F.lit(seed)), F.lit(1 << 52)) / F.lit(float(1 << 52))
+    chosen = rows.where(unit * F.lit(float(total)) < F.col("size") * F.lit(float(wanted))).select(*KEY).toArrow()
+    return np.rec.fromarrays([chosen[name].to_numpy() for name in KEY], names=",".join(KEY))
 
 
 def _quantiles(keys: np.ndarray, parts: int) -> np.ndarray:
-    keys = np.sort(keys, order=["k1", "k2"])
+    keys = np.sort(keys, order=KEY)
     at = (np.arange(1, parts) * len(keys)) // parts
     return keys[np.unique(at[at < len(keys)])] if len(keys) else keys
 
 
 def _range_of(splitters: np.ndarray):
-    """Number of splitters at or below a key: binary search by the first half, then by the second."""
-    first, second = splitters["k1"], splitters["k2"]
+    """Number of splitters at or below a key, by binary search over all three parts."""
+    first, second, third = (np.ascontiguousarray(splitters[name]) for name in KEY)
 
     @F.arrow_udf("int")
-    def range_of(k1: pa.Array, k2: pa.Array) -> pa.Array:
-        a, b = k1.to_numpy(), k2.to_numpy()
+    def range_of(k1: pa.Array, k2: pa.Array, row: pa.Array) -> pa.Array:
+        a, b, c = k1.to_numpy(), k2.to_numpy(), row.to_numpy()
         low, high = np.searchsorted(first, a, "left"), np.searchsorted(first, a, "right")
         while (open_ := low < high).any():
             middle = np.where(open_, (low + high) // 2, 0)
-            below = open_ & (second[middle] <= b)
+            below = open_ & ((second[middle] < b) | ((second[middle] == b) & (third[middle] <= c)))
             low, high = np.where(below, middle + 1, low), np.where(open_ & ~below, middle, high)
         return pa.array(low.astype(np.int32))
 
@@ -73,8 +76,9 @@ def _range_of(splitters: np.ndarray):
 def ranged(rows: DataFrame) -> DataFrame:
     """``rows`` with ``piece``, the number of their range; ranges follow the order of the key.
 
-    A range twice as full as aimed at is sampled by itself and subdivided, unless its rows all have one
-    key. The splitters are a few for each 250,000 rows: 1 MB on the driver for 10^10 rows.
+    A range twice as full as aimed at is sampled by itself and subdivided. The mark of the row is part of the key,
+    so rows of one text and one id, or of none, fill as many ranges as others. The splitters are a few for each
+    250,000 rows: 1 MB on the driver for 10^10 rows.
     """
     total = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size")).first()
     if not total["n"]:
@@ -82,9 +86,9 @@ def ranged(rows: DataFrame) -> DataFrame:
     parts = max(16, -(-total["n"] // RANGE_ROWS))
     splitters = _quantiles(_sampled(rows, total["size"], parts * SAMPLES, 0), parts)
     for turn in range(1, ROUNDS):
-        placed = rows.withColumn("piece", _range_of(splitters)("k1", "k2")) if len(splitters) else rows.withColumn("piece", F.lit(0))
+        placed = rows.withColumn("piece", _range_of(splitters)(*KEY)) if len(splitters) else rows.withColumn("piece", F.lit(0))
         counts = placed.groupBy("piece").agg(
-            F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"), (F.min(F.struct("k1", "k2")) < F.max(F.struct("k1", "k2"))).alias("wide")
+            F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"), (F.min(F.struct(*KEY)) < F.max(F.struct(*KEY))).alias("wide")
         )
         full = counts.where(((F.col("n") > 2 * RANGE_ROWS) | (F.col("size") > 2 * total["size"] / parts)) & F.col("wide")).toArrow()
         if not full.num_rows:
@@ -96,8 +100,8 @@ def ranged(rows: DataFrame) -> DataFrame:
         merged = np.unique(np.concatenate([splitters, more]))
         if len(merged) == len(splitters):
             return placed
-        splitters = np.rec.fromarrays([merged["k1"], merged["k2"]], names="k1,k2")
-    return rows.withColumn("piece", _range_of(splitters)("k1", "k2"))
+        splitters = np.rec.fromarrays([merged[name] for name in KEY], names=",".join(KEY))
+    return rows.withColumn("piece", _range_of(splitters)(*KEY))
 
 
 def assigned(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -114,7 +118,7 @@ def assigned(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col:
 def placed(docs: DataFrame, shards: int, id_col: str, text_col: str, mark: str | None = None) -> DataFrame:
     """:func:`assigned`, and ``row``, the mark of the row."""
     rows = staged(ranged(keyed(docs, id_col, text_col, mark)), "ranged")
-    inner = Window.partitionBy("piece").orderBy("k1", "k2", "row")
+    inner = Window.partitionBy("piece").orderBy(*KEY)
     before = inner.rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("place", F.row_number().over(inner) - 1)
     rows = rows.withColumn("offset", F.coalesce(F.sum("size").over(before), F.lit(0)))
