@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import json
 import re
 import time
 import zlib
 from collections import Counter, defaultdict
+from itertools import product
+from random import Random
 
 import duckdb
 import numpy as np
@@ -82,21 +85,51 @@ def test_exact_dedup_keeps_one_row_of_each_group(odd):
 def test_filters_merge_without_loss():
     rng = np.random.default_rng(1)
     parts = [rng.integers(0, 1 << 12, 500).astype(np.uint64) for _ in range(4)]
-    filters = [QuotientFilter.of(*np.unique(x, return_counts=True), 12, 5) for x in parts]
-    again = [QuotientFilter.from_bytes(f.to_bytes(), 12, 5) for f in filters]
+    filters = [QuotientFilter.of(*np.unique(x, return_counts=True), 12) for x in parts]
+    again = [QuotientFilter.from_bytes(f.to_bytes(), 12) for f in filters]
     whole = merged(again)
     assert dict(zip(whole.fingerprints().tolist(), whole.counts.tolist(), strict=True)) == Counter(np.concatenate(parts).tolist())
 
 
+def test_filters_hold_large_counts_and_odd_sizes():
+    for n, bits in ((0, 9), (1, 9), (3, 2), (200, 60), (1000, 41)):
+        found = np.unique(np.random.default_rng(n).integers(0, 1 << bits, n).astype(np.uint64))
+        counts = np.arange(1, len(found) + 1, dtype=np.uint64) ** np.uint64(3)
+        whole = QuotientFilter.of(found, counts, bits)
+        back = QuotientFilter.from_bytes(whole.to_bytes(), bits)
+        assert (back.fingerprints() == found).all() and (back.counts == counts).all()
+        twice = merged([back, whole])
+        assert (twice.fingerprints() == found).all() and (twice.counts == 2 * counts).all()
+
+
+@pytest.mark.parametrize("rows", [10**6, 10**7, 10**8, 10**9, 10**10])
+def test_filters_are_as_large_as_what_they_hold(rows):
+    """What a task sends for its fingerprints: below 8 bytes for each, whatever the table has."""
+    held = 200_000 if rows < 10**9 else 1_000_000
+    found = np.unique(np.random.default_rng(9).integers(0, 1 << 60, held).astype(np.uint64))
+    names, filters = exact_dedup.packed(found, np.ones(len(found), np.uint64), 60, exact_dedup.block_bits_for(rows, 60))
+    size = sum(map(len, filters)) / len(found)
+    assert size < 8 + 8 * (len(names) / len(found) > 0.3), size
+    assert len(names) * exact_dedup.BLOCK_ROWS >= min(rows, 16 * exact_dedup.BLOCK_ROWS) // 16
+
+
+def test_the_smallest_id_there_is_can_stay(spark):
+    docs = spark.createDataFrame([(-(2**63), "a b"), (0, "ab"), (5, "a  b")], "doc_id long, text string")
+    assert {r.keep_id for r in exact_dedup.copies(docs).collect()} == {5}
+    docs = spark.createDataFrame([(-(2**63), "a b"), (0, "a b")], "doc_id long, text string")
+    assert {r.keep_id for r in exact_dedup.copies(docs).collect()} == {-(2**63)}
+    assert exact_dedup.exact_dedup(docs).first().doc_id == -(2**63)
+
+
 # --- near copies -----------------------------------------------------------------------------------
 
 
-def brute_groups(texts):
+def brute_groups(texts, width=2):
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     sets = {}
     for i, text in texts:
         w = words((text or "").translate(lower))
-        sets[i] = set(zip(w, w[1:], strict=False)) if len(w) > 1 else {tuple(w)} - {()}
+        sets[i] = set(zip(*(w[k:] for k in range(width)), strict=False)) if len(w) >= width else {tuple(w)} - {()}
     root = {i: i for i in sets}
     for i, a in sets.items():
         for j, b in sets.items():
@@ -178,6 +211,33 @@ def test_a_bad_host_takes_its_good_documents_along(spark):
     assert {r.doc_id for r in quality.quality_filter(docs).collect()} == {i for i, r in verdict.items() if r.kept}
 
 
+def test_a_strict_host_loses_only_what_fails(spark):
+    """A host that stands out by symbols; on the others a document with as many symbols stays."""
+    good = " ".join(f"word{i}" for i in range(80))
+    marked = good + " #" * 9
+    texts = [(i, marked if i % 4 == 0 else good, "en", "symbols.example") for i in range(400)]
+    texts += [(1000 + i, marked if i % 41 == 0 else good, "en", f"host{i % 8}") for i in range(3280)]
+    texts += [(9000, marked, "en", None), (9001, good, "en", "new.example")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, lang string, source string")
+    verdicts = {r.host: r for r in quality.host_verdicts(measured_by_host(docs)).collect()}
+    assert verdicts["symbols.example"].strict_symbols and not verdicts["symbols.example"].rejected
+    assert not verdicts["symbols.example"].strict_dup_lines and set(verdicts) == {"symbols.example"}
+    gone = {r.doc_id for r in quality.judged(docs).where("NOT kept").collect()}
+    assert gone == set(range(0, 400, 4))  # those of other hosts, and of none, stay
+    assert {r.doc_id for r in quality.quality_filter(docs).collect()} == {t[0] for t in texts} - gone
+
+
+def measured_by_host(docs):
+    return docs.select(F.col("source").alias("host"), quality.measure("text").alias("m")).select("host", "m.*")
+
+
+def test_the_prior_decides_rows_of_the_test_table(spark):
+    got = quality.judged(spark.read.parquet("/root/testdata/sf0.1/documents.parquet")).where("NOT base_failed AND host_failed")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    counts = {r.quality: r["count"] for r in got.join(labels, "doc_id", "left").groupBy("quality").count().collect()}
+    assert sum(counts.values()) > 50 and counts.get(1, 0) <= 0.1 * counts.get(0, 0)
+
+
 def test_quality_filter_keeps_columns(odd):
     left = quality.quality_filter(odd)
     assert left.columns == odd.columns
@@ -219,7 +279,6 @@ def test_token_files(spark, odd):
     path, tokens = fresh_path(spark, "orc"), public_tokenizers.path("word_bpe_49k.json")
     token_files.write_tokens(odd, path, 3, token_files.word_ids(spark, F.col("text"), tokens, 2))
     model = Tokenizer.from_file(tokens)
-    model.encode_special_tokens = True
     want = {}
     for i, text, *_ in TEXTS:
         ids = model.encode(text or "", add_special_tokens=False).ids + [2]
@@ -236,12 +295,57 @@ def test_words_are_encoded_as_in_whole_texts(spark):
     tokens = public_tokenizers.path("word_bpe_49k.json")
     rng = np.random.default_rng(4)
     letters = list("abXY .,;:!?'s't()%ÀÉéßøŁłİıſ\u030cJΣς漢0½<|endoftext|>\x1c\x85\xa0 \n\u095f")
-    texts = ["".join(rng.choice(letters, rng.integers(0, 30))) for _ in range(3000)]
+    special = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "É<|endoftext|>.", "<|endoftext|"]
+    texts = ["".join(rng.choice(letters + special * (i % 2), rng.integers(0, 30))) for i in range(3000)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     model = Tokenizer.from_file(tokens)
-    model.encode_special_tokens = True
-    got = docs.select("text", token_files.word_ids(spark, F.col("text"), tokens, 2).alias("ids")).collect()
-    assert all(r.ids == model.encode(r.text, add_special_tokens=False).ids + [2] for r in got)
+    for as_text in (False, True):
+        model.encode_special_tokens = as_text
+        got = docs.select("text", token_files.word_ids(spark, F.col("text"), tokens, 2, as_text).alias("ids")).collect()
+        assert all(r.ids == model.encode(r.text, add_special_tokens=False).ids + [2] for r in got)
+
+
+def scanned(df):
+    """Rows that the scan of a frame gave to what stands above it."""
+    df._jdf.collectToPython()
+    plan, total = [df._jdf.queryExecution().executedPlan()], 0
+    while plan:
+        node = plan.pop()
+        if node.nodeName().startswith("Scan") or node.nodeName().startswith("ColumnarToRow"):
+            total = max(total, node.metrics().apply("numOutputRows").value())
+        for child in ("children", "innerChildren"):
+            rest = getattr(node, child)()
+            plan += [rest.apply(i) for i in range(rest.size())]
+    return total
+
+
+def test_reading_some_documents_skips_rows(spark):
+    path = fresh_path(spark, "orc")
+    docs = spark.range(20_000).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    ids = token_files.word_ids(spark, F.col("text"), public_tokenizers.path("word_bpe_49k.json"), 2)
+    token_files.write_tokens(docs, path, 2, ids, stride=1000)
+    assert scanned(token_files.read_tokens(spark, path)) == 20_000
+    for only, most in (([777], 1000), ([777, 12_345], 2000), ([50_000], 0)):
+        part = token_files.read_tokens(spark, path, only)
+        assert scanned(part) <= most and part.count() == sum(i < 20_000 for i in only)
+
+
+def test_rows_without_an_id_fill_many_files_and_starts_follow_the_files(spark):
+    docs = spark.range(0, 4000, 1, 8).selectExpr("if(id % 2 = 0, null, id) AS doc_id", "concat('text ', id % 700) AS text")
+    path = fresh_path(spark, "orc")
+    token_files.write_tokens(docs, path, 8, token_files.word_ids(spark, F.col("text"), public_tokenizers.path("word_bpe_49k.json"), 2))
+    files = token_files.read_tokens(spark, path).groupBy(F.input_file_name()).agg(F.count(F.lit(1)).alias("n"), F.count("doc_id").alias("named"))
+    sizes = files.collect()
+    assert len(sizes) == 8 and max(r.n for r in sizes) < 1000 and sum(r.named == 0 for r in sizes) >= 3
+    listed = sorted(token_files.catalogue(spark, path).collect(), key=lambda r: r.start)
+    at = 0
+    for row in listed:
+        assert row.start == at
+        at += row.n_tokens
+    crcs = []
+    for name in sorted(r[0] for r in sizes):
+        crcs += [zlib.crc32(np.array(r.ids, "<u4").tobytes()) for r in spark.read.orc(name).collect()]
+    assert crcs == [r.ids_crc32 for r in listed]
 
 
 # --- shards ----------------------------------------------------------------------------------------
@@ -269,6 +373,14 @@ def test_shards(spark, odd, monkeypatch):
     check_shards(texts, sharding.assigned(spark.createDataFrame(texts, "doc_id long, text string")).collect())
 
 
+def test_rows_of_one_text_without_an_id_are_subdivided(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "RANGE_ROWS", 100)
+    docs = spark.range(0, 4000, 1, 4).selectExpr("if(id % 2 = 0, null, id) AS doc_id", "if(id % 2 = 0, 'copy', concat('t', id)) AS text")
+    pieces = sharding.ranged(sharding.keyed(docs)).groupBy("piece").count().collect()
+    assert max(r["count"] for r in pieces) <= 250
+    check_shards(docs.collect(), sharding.assigned(docs).collect())
+
+
 def test_written_shards_hold_every_row(spark, odd):
     path = fresh_path(spark, "shards")
     named = odd.withColumn("slot", F.lit("x"))
@@ -335,7 +447,7 @@ def test_drawn_on_odd_rows(odd, monkeypatch):
     left = mixing.mixed(odd)
     clashing = mixing.mixed(odd.withColumn("epoch", F.lit("x")).withColumn("_epoch", F.lit("y")))
     assert clashing.columns == [*odd.columns, "epoch", "_epoch"] and clashing.count() == left.count()
-    assert left.columns == odd.columns and None not in {r.doc_id for r in left.collect()}
+    assert left.columns == odd.columns and None in {r.doc_id for r in left.collect()}
     with pytest.raises(ValueError, match="weights"):
         mixing.Mix({"a": "a"}, {"a": {"x": 0}})
 
@@ -385,9 +497,73 @@ def test_field_is_accurate_on_other_texts(trained):
     docs, field = trained
     right = wrong = missed = 0
     for part in pii.sample(docs.where("fold = 1"), "text", 20_000, 600):
-        gold, found = set(pii.patterns(part)), set(field.best(part))
+        gold, found = set(pii.patterns(part)), set(pii.spans(part, field)[1])
         right, wrong, missed = right + len(gold & found), wrong + len(found - gold), missed + len(gold - found)
-    assert right > 100 and wrong < 0.03 * right and missed < 0.03 * right
+    assert right > 100 and wrong < 0.03 * right and missed == 0
+
+
+def test_field_finds_what_the_patterns_miss(trained):
+    """Variants and decoys planted in texts it was not trained on, by another seed: recall and precision of each kind."""
+    docs, field = trained
+    random = Random(99)
+    stretches = [x for x in pii.sample(docs.where("fold = 1"), "text", 20_000, 1500) if pii.patterns(x)]
+    planted, right, found, missed, added = Counter(), Counter(), Counter(), Counter(), Counter()
+    for part in stretches * 2:
+        text, gold = pii.rewritten(part, random, True)
+        base, every = pii.spans(text, field)
+        missed.update(k for _, _, k in set(gold) - set(base))
+        added.update(k for _, _, k in set(gold) & set(every) - set(base))
+        planted.update(k for _, _, k in gold)
+        right.update(k for *_, k in set(gold) & set(every))
+        found.update(k for _, _, k in every)
+    for kind in range(4):
+        assert added[kind] >= 0.9 * missed[kind] >= 30, (kind, missed, added)
+        assert right[kind] >= 0.95 * found[kind], (kind, planted, right, found)
+    decoys = [pii.spans(pii.rewritten(part, random, False)[0], field) for part in stretches]
+    assert sum(len(every) > len(base) for base, every in decoys) <= 0.02 * len(decoys)
+    for text, kind in (("call (314) 555-6532 now", 3), ("call 314-555-6532 now", 3), ("host 2001:db8::1 is up", 1)):
+        assert [k for *_, k in pii.spans(text, field)[1]] == [kind]
+
+
+def segmentations(n, pairs):
+    """All ways to cut 0..n-1 into single steps and rows of ``pairs``, as lists of rows."""
+    ways = {0: [[]]}
+    for j in range(1, n):
+        ways[j] = [w for w in ways[j - 1]] + [[*w, r] for r, (i, k) in enumerate(pairs) if k == j for w in ways[i]]
+    return ways[n - 1]
+
+
+def test_field_against_all_segmentations():
+    rng = np.random.default_rng(8)
+    field = pii.Field(rng.normal(0, 2, (4, pii.FEATURES)))
+    for text in ("1.2.3.4 a@b.c", "+1 (23) 4567", "x@y.zz, 12", "1:2::3 - 4 5 6"):
+        cuts, pairs, table = field.segments(text)
+        scores = table @ field.weights.T
+        ways = segmentations(len(cuts), pairs)
+        assert len(ways) > 4
+        labelled = [(w, kinds) for w in ways for kinds in product(range(4), repeat=len(w))]
+        weights = np.array([sum(scores[r, k] for r, k in zip(w, kinds, strict=True)) for w, kinds in labelled])
+        share = np.exp(weights - weights.max())
+        share /= share.sum()
+        expected = np.zeros_like(scores)
+        for (w, kinds), p in zip(labelled, share, strict=True):
+            for r, k in zip(w, kinds, strict=True):
+                expected[r, k] += p
+        assert np.allclose(pii._marginals(len(cuts), np.array(pairs), scores), expected)
+        best = max(labelled, key=lambda x: sum(scores[r, k] - pii.MARGIN for r, k in zip(*x, strict=True)))
+        value = sum(scores[r, k] - pii.MARGIN for r, k in zip(*best, strict=True))
+        place = {(cuts[i], cuts[j]): r for r, (i, j) in enumerate(pairs)}
+        assert np.isclose(sum(scores[place[a, b], k] - pii.MARGIN for a, b, k in field.best(text)), value)
+
+
+def test_blocks_of_a_long_stretch_make_no_difference(trained, monkeypatch):
+    _, field = trained
+    text = " ".join(f"({i % 900 + 100}) 555-{i % 9000 + 1000} {i} 10.0.{i % 300}.{i % 256}" for i in range(400))
+    whole = field.best(text)
+    assert len(whole) > 300
+    for block in (7, 100):
+        monkeypatch.setattr(pii, "BLOCK", block)
+        assert field.best(text) == whole
 
 
 def test_found_on_odd_rows(spark, trained):
@@ -434,6 +610,62 @@ def test_chat(spark):
     assert [r.line for r in got if r.conv_id is None] == ["{}"]
 
 
+def calls_and_results(pairs, chat=1):
+    """Calls c0, c1, ... with results of the same ids; call i needs the results named in ``pairs``."""
+    n = 1 + max(max(i, j) for i, j in pairs)
+    rows = []
+    for i in range(n):
+        refs = ",".join(f'"{k}":{{"$ref":"c{j}"}}' for k, j in enumerate(j for a, j in pairs if a == i))
+        rows.append((chat, i, "call", "assistant", None, f"c{i}", "add", f'{{"c":{{{refs}}}}}', "-"))
+        rows.append((chat, i, "result", "tool", f"r{i}", f"c{i}", None, None, "-"))
+    return rows
+
+
+def test_ids_hold_within_a_chat(spark):
+    """Chats that all use call_1; the third has a result and no call."""
+    messages = [(c, 1, "call", "assistant", None, "call_1", "add", '{"a":1}', "-") for c in (1, 2, None)]
+    messages += [(c, t, "result", "tool", "ok", "call_1", None, None, "-") for c, t in ((1, 0), (2, 5), (3, 0), (None, 2))]
+    got = {(r.conv_id, r.kind): r for r in chat.formatted(spark.createDataFrame(messages, CHAT), SCHEMAS).collect()}
+    assert {k: r.linked for k, r in got.items()} == {k: k[0] != 3 for k in got}
+    assert all(got[c, "call"].position == 0 and got[c, "result"].position == 1 for c in (1, 2, None))
+
+
+def test_messages_come_after_all_they_need(spark):
+    """Calls that need one or several results of later turns, and chains of them."""
+    pairs = [(0, 4), (1, 0), (2, 1), (2, 6), (3, 2), (5, 3), (5, 2), (7, 5)]
+    got = chat.formatted(spark.createDataFrame(calls_and_results(pairs), CHAT), SCHEMAS).collect()
+    place = {(r.kind, r.call_id): r.position for r in got}
+    assert all(place["call", f"c{i}"] < place["result", f"c{i}"] for i in range(8))
+    assert all(place["result", f"c{j}"] < place["call", f"c{i}"] for i, j in pairs)
+    assert sorted(place.values()) == list(range(16))
+
+
+def test_a_cycle_among_ten_thousand_links_ends_soon(spark, monkeypatch):
+    rounds = []
+    written = chat.staged
+    monkeypatch.setattr(chat, "staged", lambda df, label: (rounds.append(label), written(df, label))[1])
+    messages = [m for c in range(2500) for m in calls_and_results([(1, 0)], c)]
+    messages += calls_and_results([(i, (i + 1) % 9) for i in range(9)] + [(9, 3)], -1)  # a cycle, and a call behind it
+    messages += calls_and_results([(i, i - 1) for i in range(1, 700)], -2)  # a long chain
+    messages += calls_and_results([(0, 1), (1, 0), (2, 0), (2, 3)], -3)  # one that needs a cycle and something else
+    got = chat.formatted(spark.createDataFrame(messages, CHAT), SCHEMAS).collect()
+    assert len(got) == len(messages) and len(rounds) < 30
+    cycle = sorted((r.position, r.kind, r.call_id) for r in got if r.conv_id == -1)
+    assert [c for _, _, c in cycle] == [f"c{i // 2}" for i in range(20)]  # each keeps its turn
+    chain = sorted((r.position, r.kind, r.call_id) for r in got if r.conv_id == -2)
+    assert [(k, c) for _, k, c in chain] == [(k, f"c{i}") for i in range(700) for k in ("call", "result")]
+
+
+def test_long_texts_and_questions_are_whole(spark):
+    long = "é\"x\n" * 50_000
+    turns = spark.createDataFrame([(1, 0, "user", long), (1, 1, "assistant", "y" * 100_000), (2, 0, None, None)], "conv_id long, turn long, role string, text string")
+    got = {(r.conv_id, r.kind): r for r in chat.formatted(chat.with_calls(turns), chat.ANSWER).collect()}
+    call = json.loads(got[1, "call"].line)["tool_calls"][0]
+    assert call["arguments"] == {"question": long, "limit": 100_000} and got[1, "call"].valid
+    assert json.loads(got[1, "message"].line) == {"content": long, "role": "user"}
+    assert got[1, "result"].linked and len(json.loads(got[1, "result"].line)["content"]) == 100_000
+
+
 # --- empty tables ----------------------------------------------------------------------------------
 
 
