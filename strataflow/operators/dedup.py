@@ -37,14 +37,24 @@ def first_ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
     return df.withColumn("_place", place).where("_place = 1").drop("_place")
 
 
+def one_per_key(df: DataFrame, key: str) -> DataFrame:
+    """The first row of each key in the order of its other columns; NULL is a key like any other."""
+    return first_ranked(df, [key], [F.col(name) for name in df.columns if name != key])
+
+
+def without_keys(df: DataFrame, others: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose key ``others`` does not have. Where ``others`` is small, the rows stay where they are."""
+    return df.join(others.select(F.col(key).alias("_other")), F.col(key).eqNullSafe(F.col("_other")), "left_anti")
+
+
 def upsert(existing: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     """All keys of both frames; where both have one, the row of ``updates`` wins as a whole.
 
-    Other columns break ties, should a key come twice on one side.
+    ``existing`` is taken as it is, with one row for each key: its rows are looked up among the new keys, but
+    neither sorted nor, where those are few, moved. Updates that repeat a key are cut to one row.
     """
-    ranked = updates.withColumn("_source", F.lit(0)).unionByName(existing.withColumn("_source", F.lit(1)))
-    rest = [F.col(name) for name in existing.columns if name != key]
-    return first_ranked(ranked, [key], [F.col("_source"), *rest]).drop("_source")
+    newest = one_per_key(updates, key)
+    return newest.unionByName(without_keys(existing, newest, key))
 
 
 def upsert_by_join(existing: DataFrame, updates: DataFrame, key: str) -> DataFrame:

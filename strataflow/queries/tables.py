@@ -8,7 +8,8 @@ from pyspark.sql.types import StructType
 from ..schemas import GOLD_CUSTOMERS, SILVER_CUSTOMERS, require_contract
 from ..operators.dedup import upsert, upsert_by_join
 from ..plans import gold, silver
-from ..sinks import merge_into, overwrite, overwrite_partitioned, replace_table, save_query
+from ..sinks import create_bucketed, merge_buckets, merge_into, overwrite, overwrite_partitioned, replace_table
+from ..sinks import rows_of_keys, save_query
 from ..sinks import stage_then_attach, write_csv
 from ..sources import attach_files, attach_files_sql, load_csv, load_parquet, table
 from ..sources.testtables import AS_OF
@@ -139,6 +140,27 @@ def _(lay):
     return merge_into(updates, name, "client_id", scratch(lay, "merged"))
 
 
+@query("b10_merge_touched_buckets", UPSERTED)
+def _(lay):
+    existing, updates = upsert_sides(lay)
+    name = scratch_table(lay, "customers")
+    create_bucketed(existing, name, "client_id", scratch(lay, "customers"), buckets=16)
+    return merge_buckets(updates, name)
+
+
+@query(
+    "b10_rows_of_keys",
+    """SELECT * FROM silver_customers WHERE client_id IN (
+         SELECT client_id FROM silver_sales WHERE price = (SELECT max(price) FROM silver_sales))""",
+)
+def _(lay):
+    """Buyers of the dearest article, from the buckets that hold them."""
+    name = scratch_table(lay, "customers")
+    create_bucketed(lay.customers, name, "client_id", scratch(lay, "customers"), buckets=16)
+    dearest = lay.sales.agg(F.max("price").alias("price"))
+    return rows_of_keys(lay.spark, name, lay.sales.join(dearest, "price").select("client_id"))
+
+
 @query("b11_upsert", UPSERTED)
 def _(lay):
     return upsert(*upsert_sides(lay), "client_id")

@@ -1,9 +1,14 @@
-from .files import add_to_days, append, overwrite, overwrite_days, overwrite_partitioned, write_csv
+from .buckets import bucketed_table, create_bucketed, is_bucketed, merge_buckets, rows_of_keys
+from .files import add_to_days, append, overwrite, overwrite_days, overwrite_partitioned, stored_rows, write_csv
 from .tables import merge_into, plan_text, preview, replace_table, save_query, stage_then_attach
 
 __all__ = [
     "add_to_days",
     "append",
+    "bucketed_table",
+    "create_bucketed",
+    "is_bucketed",
+    "merge_buckets",
     "merge_into",
     "overwrite",
     "overwrite_days",
@@ -11,7 +16,9 @@ __all__ = [
     "plan_text",
     "preview",
     "replace_table",
+    "rows_of_keys",
     "save_query",
     "stage_then_attach",
+    "stored_rows",
     "write_csv",
 ]
