@@ -20,11 +20,13 @@ def _with_daily(
 ) -> DataFrame:
     """Add columns that depend only on group and day, worked out on one row per group and day.
 
-    That summary is written first, so Spark knows its size when it plans the join: a small one is
-    broadcast and the big data does not move at all, a large one is shuffled.
+    The rows are derived once and written, and read again for the summary and for the result. The summary is
+    written too, so Spark knows its size when it plans the join: a small one is broadcast and the big data does
+    not move at all, a large one is shuffled.
     """
     if not isinstance(df.schema[day].dataType, DateType):
         raise TypeError(f"{day} must be a date: the calendar is what bounds the rows per group")
+    df = staged(df, "facts")
     daily = df.groupBy(group, day).agg(*totals).withColumns(columns)
     daily = staged(daily.select(F.col(group).alias("_group"), F.col(day).alias("_day"), *columns), "daily")
     same = df[group].eqNullSafe(daily["_group"]) & df[day].eqNullSafe(daily["_day"])
@@ -48,6 +50,56 @@ def rank_by_day(df: DataFrame, group: str, day: str, name: str = "rank") -> Data
     return _with_daily(df, group, day, [F.count(F.lit(1)).alias("_rows")], {name: earlier + 1})
 
 
+def running_by_row(
+    df: DataFrame,
+    groups: Sequence[str],
+    order_by: Sequence[str],
+    value: str,
+    total: str | None = "running_total",
+    place: str | None = "place",
+    slices: int | None = None,
+) -> DataFrame:
+    """Sum of ``value`` up to and including the row within its group, and the row's place from 1.
+
+    For orders finer than days, where a summary by day does not help: a prefix scan in two levels. Rows are range
+    partitioned by group and order and written, so a group is cut into as many slices as its size asks for. A
+    summary of one row per slice and group gives each slice the sum and count of the slices before it, and windows
+    run within slices. Ties of ``order_by`` are ordered by ``value``; NULL values add nothing, and the sum is NULL
+    as long as all were. The number of slices is that of shuffle partitions, unless given.
+    """
+    columns = df.columns
+    kind = df.schema[value].dataType
+    order = [*order_by, *([] if value in order_by else [value]), "_from"]
+    marked = df.withColumn("_from", F.spark_partition_id())
+    ranged = marked.repartitionByRange(*([slices] if slices else []), *groups, *order)
+    rows = staged(ranged.withColumn("_slice", F.spark_partition_id()), "running")
+
+    sums = rows.groupBy("_slice", *groups).agg(
+        F.sum(value).alias("_sum"), F.count(value).alias("_values"), F.count(F.lit(1)).alias("_rows")
+    )
+    before = Window.partitionBy(*groups).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select(
+        F.col("_slice").alias("_at"),
+        *(F.col(name).alias(f"_at_{i}") for i, name in enumerate(groups)),
+        *(F.coalesce(F.sum(name).over(before), F.lit(0)).alias(f"{name}_before") for name in ("_sum", "_values", "_rows")),
+    )
+    same = [F.col("_slice") == F.col("_at"), *(F.col(name).eqNullSafe(F.col(f"_at_{i}")) for i, name in enumerate(groups))]
+
+    inside = Window.partitionBy("_slice", *groups).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    within = {
+        "_sum_here": F.coalesce(F.sum(value).over(inside), F.lit(0)),
+        "_values_here": F.count(value).over(inside),
+        "_rows_here": F.count(F.lit(1)).over(inside),
+    }
+    joined = rows.withColumns(within).join(starts, same)
+    summed = F.col("_sum_before") + F.col("_sum_here")
+    if kind.typeName() == "decimal":
+        summed = summed.cast(f"decimal({min(38, kind.precision + 10)},{kind.scale})")
+    wanted = {total: F.when(F.col("_values_before") + F.col("_values_here") > 0, summed)} if total else {}
+    wanted |= {place: F.col("_rows_before") + F.col("_rows_here")} if place else {}
+    return joined.withColumns(wanted).select(*columns, *wanted)
+
+
 def neighbours(
     df: DataFrame,
     groups: Sequence[str],

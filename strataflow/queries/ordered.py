@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.dedup import first_ranked, upsert
-from ..operators.ordered import neighbours, rank_by_day, running_total
+from ..operators.ordered import neighbours, rank_by_day, running_by_row, running_total
 from ..plans import silver
 from .registry import query
 from .tables import UPSERTED, upsert_sides
@@ -64,6 +64,17 @@ def _(lay):
 
 
 IN_ORDER = "OVER (PARTITION BY state ORDER BY purchase_date, client_id, product_name, price)"
+IN_ORDER_ROWS = IN_ORDER[:-1] + " ROWS UNBOUNDED PRECEDING)"
+
+
+@query(
+    "g4_running_total_by_sale",
+    f"""SELECT *, CAST(sum(price) {IN_ORDER_ROWS} AS DECIMAL(20,2)) AS running_total,
+               row_number() {IN_ORDER} AS place FROM state_sales""",
+)
+def _(lay):
+    """Sale by sale: copies of a sale are told apart by nothing, so they share out the places they take."""
+    return running_by_row(lay.state_sales, ["state"], SALE_ORDER, "price")
 
 
 @query("g6_previous_value", f"SELECT *, lag(price, 1) {IN_ORDER} AS prev_purchase FROM state_sales")

@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import rows_of
-from strataflow.operators.ordered import neighbours, rank_by_day, running_total
+from strataflow.operators.ordered import neighbours, rank_by_day, running_by_row, running_total
 
 
 @pytest.fixture(scope="module")
@@ -49,6 +49,24 @@ def test_neighbours(facts, slices):
     assert rows_of(got.select("g", "d", "c", "price", "n")) == rows_of(expected.drop("p"))
 
 
+@pytest.mark.parametrize("slices", [1, 3, 40])
+def test_running_by_row(facts, slices):
+    """Rows that tie in all columns are equal, so any order of them gives the same rows."""
+    window = Window.partitionBy("g").orderBy("d", "c", "price")
+    sofar = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    expected = facts.withColumns({"t": F.sum("price").over(sofar), "n": F.row_number().over(window).cast("long")})
+    got = running_by_row(facts, ["g"], ["d", "c"], "price", "t", "n", slices=slices)
+    assert rows_of(got) == rows_of(expected)
+    assert running_by_row(facts, ["g"], ["d"], "price", None).columns == [*facts.columns, "place"]
+
+
+def test_running_by_row_over_everything_and_over_nothing(spark, facts):
+    copies = spark.range(0, 4000, 1, 8).selectExpr("'hot' AS g", "1 AS o", "2L AS v")
+    got = running_by_row(copies, ["g"], ["o"], "v", slices=8)
+    assert rows_of(got.select("running_total")) == rows_of(spark.range(1, 4001).selectExpr("id * 2"))
+    assert running_by_row(facts.limit(0), ["g"], ["d"], "price").count() == 0
+
+
 def test_a_hot_group_of_copies_is_cut_into_slices(spark):
     copies = spark.range(0, 4000, 1, 8).select(
         F.lit("hot").alias("g"), F.lit("2022-01-01").cast("date").alias("d"), F.lit(1).alias("v")
