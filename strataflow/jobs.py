@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from . import functions as fn
 from .operators.dedup import upsert
-from .operators.quality import observed
-from .plans import analytics, bronze, gold, silver
+from .operators.quality import observed, sales_quality
+from .plans import analytics, bronze, gold, silver, summary
 from .schemas import (
     BRONZE_CUSTOMERS,
     BRONZE_SALES,
@@ -30,7 +30,8 @@ from .schemas import (
     require_contract,
 )
 from .session import session
-from .sinks import add_to_days, merge_into, overwrite, overwrite_partitioned, replace_table
+from .sinks import add_to_days, create_bucketed, is_bucketed, merge_buckets, merge_into, overwrite, overwrite_days
+from .sinks import overwrite_partitioned, replace_table, stored_rows
 from .sources import csv_delivery, json_lines, parquet, split_malformed, with_delivery_date
 from .streaming import ingest_new_files
 
@@ -69,11 +70,24 @@ def customers_to_bronze(spark: SparkSession, raw: str, bronze_path: str, quarant
 
 
 def sales_to_silver(
-    spark: SparkSession, bronze_path: str, silver_path: str, profile: str = "strict", only_days: bool = False
+    spark: SparkSession,
+    bronze_path: str,
+    silver_path: str,
+    profile: str = "strict",
+    only_days: bool = False,
+    replace_days: bool = False,
+    summary_path: str | None = None,
 ) -> Counts:
-    """With ``only_days`` the rows that the table lacks are added to their days; nothing is removed."""
+    """Rebuild the table; with ``only_days`` add the rows that it lacks to their days; with ``replace_days`` let the
+    days of this bronze folder take the place of what the table has for them, so that corrections count.
+
+    ``summary_path`` is a summary by client, product and day that is brought up to date with what was written.
+    """
+    if only_days and replace_days:
+        raise ValueError("days are added to or replaced, not both")
+    raw = parquet(spark, bronze_path)
     typed, seen = observed(
-        silver.sales_typed(parquet(spark, bronze_path), profile),
+        silver.sales_typed(raw, profile),
         "typed",
         bad_client_id=F.col("client_id").isNull(),
         bad_purchase_date=F.col("purchase_date").isNull(),
@@ -85,10 +99,24 @@ def sales_to_silver(
         stamped = require_contract(stamped, SILVER_SALES)
     if only_days:
         add_to_days(stamped, silver_path, "purchase_date", stamps=("processed_at",))
+    elif replace_days:
+        overwrite_days(stamped, silver_path, "purchase_date")
     else:
         overwrite_partitioned(stamped, silver_path, "purchase_date")
-    causes = {name: value for name, value in seen.get.items() if name != "rows"}
-    return _dropped(seen.get["rows"], rows_out.get["rows"]) | causes
+    if summary_path and (only_days or replace_days):
+        summary.refresh_months(spark, silver_path, summary_path, silver.usable_sales(silver.sales_typed(raw, profile), profile))
+    elif summary_path:
+        summary.build_summary(parquet(spark, silver_path), summary_path)
+    counts = dict(seen.get)
+    if counts["rows"] != stored_rows(spark, bronze_path):
+        # Some task of the pass ran twice, so what it observed counts twice.
+        exact = silver.sales_typed(raw, profile)
+        counts = sales_quality(exact).drop("rows_out", "rows_dropped").withColumnRenamed("rows_in", "rows").first().asDict()
+        out = silver.usable_sales(exact, profile).count()
+    else:
+        out = rows_out.get["rows"]
+    causes = {name: value for name, value in counts.items() if name != "rows"}
+    return _dropped(counts["rows"], out) | causes
 
 
 def customers_to_silver(spark: SparkSession, bronze_path: str, silver_path: str) -> Counts:
@@ -107,13 +135,15 @@ def merge_customers(
     location: str,
     since: str | None = None,
     old: str | None = None,
+    buckets: int | None = None,
 ) -> Counts:
     """Bring a silver customer table up to date with the dumps delivered from ``since`` on.
 
     Reads the new dumps and the table instead of every dump ever delivered. ``location`` is a new
     folder for the merged rows. ``old`` names the folder of the snapshot to merge into, for processes
     whose catalog doesn't know the table. Without either, only all dumps make a whole table, so
-    ``since`` is refused.
+    ``since`` is refused. With ``buckets`` a new table is cut by the hash of its key; a merge into such a
+    table reads and writes only the buckets that the dumps fall into, below the folder the table was made with.
     """
     known = old is None and spark.catalog.tableExists(table)
     if since and not old and not known:
@@ -122,8 +152,13 @@ def merge_customers(
     if since:
         dumps = dumps.where(F.col("delivery_date") >= F.lit(since).cast("date"))
     newest, counts = observed(require_contract(silver.customers_silver(dumps), SILVER_CUSTOMERS), "newest")
-    if known:
+    if known and is_bucketed(spark, table):
+        merge_buckets(newest, table)
+    elif known:
         merge_into(newest, table, "client_id", location)
+    elif buckets:
+        rows = upsert(parquet(spark, old), newest, "client_id") if old else newest
+        create_bucketed(rows, table, "client_id", location, buckets, SILVER_CUSTOMERS)
     elif old:
         replace_table(upsert(parquet(spark, old), newest, "client_id"), table, SILVER_CUSTOMERS, location)
     else:
@@ -181,13 +216,16 @@ def ingest_customers(spark: SparkSession, raw: str, bronze_path: str, checkpoint
     return {"rows_in": rows}
 
 
-def top_state_report(spark: SparkSession, sales: str, table: str, k: int = 1) -> DataFrame:
-    return analytics.top_state(parquet(spark, sales), spark.table(table), k=k)
+def top_state_report(spark: SparkSession, sales: str, table: str, k: int = 1, of_summary: bool = False) -> DataFrame:
+    return analytics.top_state(parquet(spark, sales), spark.table(table), k=k, orders="orders" if of_summary else None)
+
 
+def top_state(spark: SparkSession, sales: str, table: str, k: int = 1, of_summary: bool = False) -> dict:
+    """The last question of the chain, as a job: the first ``k`` states with their counts.
 
-def top_state(spark: SparkSession, sales: str, table: str, k: int = 1) -> dict:
-    """The last question of the chain, as a job: the first ``k`` states with their counts."""
-    return {"top": [row.asDict() for row in top_state_report(spark, sales, table, k).take(k)]}
+    With ``of_summary`` the folder ``sales`` is a summary by client, product and day.
+    """
+    return {"top": [row.asDict() for row in top_state_report(spark, sales, table, k, of_summary).take(k)]}
 
 
 def _dropped(rows_in: int, rows_out: int) -> Counts:
@@ -230,11 +268,15 @@ def main(argv: list[str] | None = None) -> Counts:
         "--profile", choices=("strict", "lenient", "normalised"), default="strict"
     )
     commands.choices["sales-silver"].add_argument("--only-days", action="store_true")
+    commands.choices["sales-silver"].add_argument("--replace-days", action="store_true")
+    commands.choices["sales-silver"].add_argument("--summary", dest="summary_path")
     for job in ("sales-bronze", "customers-bronze", "profiles-silver"):
         commands.choices[job].add_argument("--quarantine")
     commands.choices["customers-merge"].add_argument("--since")
     commands.choices["customers-merge"].add_argument("--old")
+    commands.choices["customers-merge"].add_argument("--buckets", type=int)
     commands.choices["top-state"].add_argument("--k", type=int, default=1)
+    commands.choices["top-state"].add_argument("--of-summary", action="store_true")
     commands.choices["customers-gold"].add_argument("--location")
     commands.choices["customers-gold"].add_argument("--as-of")
     given = vars(parser.parse_args(argv))

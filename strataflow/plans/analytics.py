@@ -34,11 +34,14 @@ def keyed_like(sales: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def purchases_by_state(
-    sales: DataFrame, customers: DataFrame, when: Column, product: str, ages: tuple[int, int]
+    sales: DataFrame, customers: DataFrame, when: Column, product: str, ages: tuple[int, int], orders: str | None = None
 ) -> DataFrame:
-    """Purchases of one product per state, by buyers of an inclusive age range."""
+    """Purchases of one product per state, by buyers of an inclusive age range.
+
+    ``sales`` may be a summary by client, product and day; ``orders`` then names the number of sales in a row.
+    """
     bought = keyed_like(sales, customers).where((F.col("product_name") == product) & when)
-    per_client = bought.groupBy("client_id").agg(F.count(F.lit(1)).alias("_n"))
+    per_client = bought.groupBy("client_id").agg((F.sum(orders) if orders else F.count(F.lit(1))).alias("_n"))
     buyers = customers.where(F.col("age").between(*ages)).select("client_id", "state")
     return per_client.join(buyers, "client_id").groupBy("state").agg(F.sum("_n").alias("purchases"))
 
@@ -52,14 +55,15 @@ def top_state(
     when: Column | None = None,
     exclude_null_state: bool = False,
     k: int = 1,
+    orders: str | None = None,
 ) -> DataFrame:
     """The ``k`` states with most purchases; ties go to the state that sorts first.
 
-    ``when`` limits the purchase day; by default the first ten days of any September.
+    ``when`` limits the purchase day; by default the first ten days of any September. ``orders`` as above.
     """
     if when is None:
         when = in_days_of_month(F.col("purchase_date"), 9, 1, 10)
-    counts = purchases_by_state(sales, customers, when, product, ages)
+    counts = purchases_by_state(sales, customers, when, product, ages, orders)
     if exclude_null_state:
         counts = counts.where(F.col("state").isNotNull())
     return counts.orderBy(F.col("purchases").desc(), F.col("state").asc_nulls_first()).limit(k)
@@ -89,8 +93,13 @@ def rolled_up(totals: DataFrame, *by: str) -> DataFrame:
     )
 
 
-def sales_by_state_and_age(sales: DataFrame, customers: DataFrame, width: int = 10) -> DataFrame:
-    """Orders and revenue by state and age band of the buyer."""
+def by_state_and_age(totals: DataFrame, customers: DataFrame, width: int = 10) -> DataFrame:
+    """Per-client totals by state and age band of the buyer."""
     buyers = customers.select("client_id", "state", age_band(F.col("age"), width).alias("age_band"))
-    joined = client_totals(keyed_like(sales, customers)).join(buyers, "client_id")
+    joined = keyed_like(totals, customers).join(buyers, "client_id")
     return rolled_up(joined, "state", "age_band").select("state", "age_band", "total_orders", "total_revenue")
+
+
+def sales_by_state_and_age(sales: DataFrame, customers: DataFrame, width: int = 10) -> DataFrame:
+    """Orders and revenue by state and age band of the buyer."""
+    return by_state_and_age(client_totals(keyed_like(sales, customers)), customers, width)

@@ -6,19 +6,29 @@ from pyspark.sql import functions as F
 
 from ..operators.dedup import any_copy, latest
 from ..operators.quality import key_quality, observed, sales_quality
-from ..plans import silver
+from ..plans import silver, summary
 from ..plans.analytics import (
+    by_state_and_age,
     client_totals,
     in_date_range,
     rolled_up,
     sales_by_state_and_age,
     top_state,
 )
+from ..plans.sketches import day_sketches, distinct_in
+from ..session import staged
+from ..sinks import overwrite_partitioned
 from .registry import query, scratch
 
 REVENUE = "CAST(sum(price) AS DECIMAL(20,2)) AS total_revenue"
 
 
+def built_summary(lay):
+    path = scratch(lay, "client-days")
+    summary.build_summary(lay.sales, path)
+    return summary.stored_summary(lay.spark, path)
+
+
 def with_state(totals, lay):
     return totals.join(lay.customers.select("client_id", "state"), "client_id")
 
@@ -35,13 +45,13 @@ def _(lay):
     return lay.customers.groupBy("state").count()
 
 
-@query(
-    "f3_multi_key_aggregates",
-    f"""SELECT state, product_name, count(*) AS total_orders, {REVENUE},
-               round(CAST(CAST(sum(price) AS DECIMAL(38,2)) AS DOUBLE) / count(price), 4) AS avg_price,
-               min(price) AS min_price, max(price) AS max_price, count(DISTINCT client_id) AS unique_customers
-        FROM state_sales GROUP BY state, product_name""",
-)
+BY_STATE_AND_PRODUCT = f"""SELECT state, product_name, count(*) AS total_orders, {REVENUE},
+           round(CAST(CAST(sum(price) AS DECIMAL(38,2)) AS DOUBLE) / count(price), 4) AS avg_price,
+           min(price) AS min_price, max(price) AS max_price, count(DISTINCT client_id) AS unique_customers
+    FROM state_sales GROUP BY state, product_name"""
+
+
+@query("f3_multi_key_aggregates", BY_STATE_AND_PRODUCT)
 def _(lay):
     return rolled_up(with_state(client_totals(lay.sales, "product_name"), lay), "state", "product_name")
 
@@ -58,6 +68,21 @@ def _(lay):
     )
 
 
+@query(
+    "f4_distinct_from_sketches",
+    """SELECT product_name, CAST(year(purchase_date) AS INT) AS year, count(DISTINCT client_id) AS exact, true AS close
+       FROM silver_sales GROUP BY ALL""",
+)
+def _(lay):
+    """Buyers of a year by uniting the sketches of its days, held against the exact count."""
+    year = F.year("purchase_date").alias("year")
+    sketches = staged(day_sketches(lay.sales, "product_name"), "sketches")
+    found = distinct_in(sketches, "product_name", year)
+    exact = lay.sales.groupBy("product_name", year).agg(F.count_distinct("client_id").alias("exact"))
+    close = F.abs(F.col("distinct_estimate") - F.col("exact")) <= 0.05 * F.col("exact")
+    return exact.join(found, ["product_name", "year"]).select("product_name", "year", "exact", close.alias("close"))
+
+
 @query(
     "f5_sql_aggregate",
     f"""SELECT state, count(*) AS total_orders, {REVENUE},
@@ -209,14 +234,53 @@ def _(lay):
     return lay.enriched.where("age < 25")
 
 
-@query(
-    "h5_sales_by_state_and_age",
-    f"""SELECT state, CASE WHEN low IS NOT NULL
-               THEN concat(CAST(low AS STRING), '-', CAST(low + 9 AS STRING)) END AS age_band,
-               count(*) AS total_orders, {REVENUE}
-        FROM (SELECT e.state, e.age // 10 * 10 AS low, s.price
+STATE_AND_AGE = f"""SELECT state, CASE WHEN low IS NOT NULL
+           THEN concat(CAST(low AS STRING), '-', CAST(low + 9 AS STRING)) END AS age_band,
+           count(*) AS total_orders, {REVENUE}
+    FROM (SELECT e.state, e.age // 10 * 10 AS low, s.price
               FROM silver_sales s JOIN gold_customers e ON s.client_id = e.client_id) t
-        GROUP BY state, low""",
-)
+    GROUP BY state, low"""
+
+
+@query("h5_sales_by_state_and_age", STATE_AND_AGE)
 def _(lay):
     return sales_by_state_and_age(lay.sales, lay.enriched)
+
+
+@query(
+    "h5_client_day_summary",
+    """SELECT client_id, product_name, purchase_date, count(*) AS orders, CAST(sum(price) AS DECIMAL(38,2)) AS revenue,
+              count(price) AS priced, min(price) AS low, max(price) AS high
+       FROM silver_sales GROUP BY client_id, product_name, purchase_date""",
+)
+def _(lay):
+    """The summary after a first load, a late and repeated delivery of a month, and a day that was wrong at first."""
+    sales, path = scratch(lay, "silver-sales"), scratch(lay, "client-days")
+    known = staged(lay.sales, "sales")
+    day, price = F.col("purchase_date"), F.col("price")
+    late = in_date_range(day, "1998-02-01", "1998-02-28")
+    wrong = day == F.lit("1995-03-01").cast("date")
+    first = known.where(~late).withColumn("price", F.when(wrong, 1).otherwise(price).cast("decimal(10,2)"))
+    overwrite_partitioned(first, sales, "purchase_date")
+    summary.build_summary(lay.spark.read.parquet(sales), path)
+    for _again in range(2):
+        summary.add_sales(known.where(late), sales, path)
+    summary.replace_sales(known.where(wrong), sales, path)
+    return summary.stored_summary(lay.spark, path)
+
+
+@query("h1_top_states_from_summary", TOP_STATE.format(when=ANY_YEAR, k=5))
+def _(lay):
+    found = top_state(built_summary(lay), lay.enriched, k=5, orders="orders")
+    return found.withColumnRenamed("purchases", "tv_purchases")
+
+
+@query("h5_by_state_and_age_from_summary", STATE_AND_AGE)
+def _(lay):
+    return by_state_and_age(summary.totals(built_summary(lay)), lay.enriched)
+
+
+@query("f3_multi_key_from_summary", BY_STATE_AND_PRODUCT)
+def _(lay):
+    totals = summary.totals(built_summary(lay), "product_name")
+    return rolled_up(with_state(totals, lay), "state", "product_name")

@@ -271,3 +271,14 @@ def _(lay):
     reload_days(lay.sales, path)
     reload_days(lay.sales.where(F.year("purchase_date") == 1999), path)
     return parquet(lay.spark, path).select(*lay.sales.columns)
+
+
+@query("k2_corrected_days", "SELECT * FROM silver_sales")
+def _(lay):
+    """A month is loaded with wrong prices, twice over, and then delivered again, twice."""
+    path, month = scratch(lay, "sales-by-day"), F.trunc("purchase_date", "month") == F.lit("1996-03-01").cast("date")
+    wrong = lay.sales.where(month).withColumn("price", (F.col("price") / 2).cast("decimal(10,2)"))
+    reload_days(lay.sales.where(~month).unionByName(wrong).unionByName(wrong), path)
+    for _again in range(2):
+        reload_days(lay.sales.where(month), path, replace=True)
+    return parquet(lay.spark, path).select(*lay.sales.columns)

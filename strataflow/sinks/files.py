@@ -16,6 +16,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
+def stored_rows(spark: SparkSession, path: str) -> int:
+    """Rows of Parquet files, from their footers."""
+    return spark.read.parquet(path).select().count()
+
+
 def overwrite(df: DataFrame, path: str, *columns: str) -> None:
     """Replace the whole snapshot, with ``columns`` in a folder for each value; rows are not moved.
 

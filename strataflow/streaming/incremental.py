@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from ..sinks.files import STREAM_LOG, add_to_days, exists
+from ..sinks.files import STREAM_LOG, add_to_days, exists, overwrite_days
 from ..sources.files import delivery_date
 
 
@@ -57,7 +57,14 @@ def ingest_new_files(
     return sum(read.values())
 
 
-def reload_days(df: DataFrame, path: str, day: str = "purchase_date") -> None:
-    """Add deliveries to a day-partitioned table. A delivery that was loaded before adds nothing, one that
-    comes late adds its rows to what the day already has; rows without a day have a folder of their own."""
-    add_to_days(df, path, day)
+def reload_days(df: DataFrame, path: str, day: str = "purchase_date", replace: bool = False) -> None:
+    """Bring a delivery into a day-partitioned table; doing it again changes nothing.
+
+    By default rows are added: a delivery that was loaded before adds nothing, one that comes late adds its rows
+    to what the day already has. With ``replace`` the delivery is the whole of its days: what the table has for
+    them goes, so that corrected rows take the place of wrong ones. Rows without a day have a folder of their own.
+    """
+    if replace:
+        overwrite_days(df, path, day)
+    else:
+        add_to_days(df, path, day)

@@ -1,0 +1,125 @@
+"""Merges that touch only the buckets of their updates, and the summary by client and day."""
+
+from __future__ import annotations
+
+import re
+from datetime import date
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows_of
+from strataflow.operators.dedup import upsert
+from strataflow.plans import analytics, summary
+from strataflow.plans.sketches import day_sketches, distinct_in
+from strataflow.session import staged
+from strataflow.sinks import bucketed_table, create_bucketed, is_bucketed, merge_buckets, overwrite_partitioned, rows_of_keys
+from strataflow.sinks.buckets import BUCKET, bucket_of
+
+DATABASE = "strataflow_buckets"
+
+
+@pytest.fixture
+def name(spark, folder):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {DATABASE} LOCATION '{folder}/database'")
+    return f"{DATABASE}.t_{folder[-8:]}"
+
+
+def people(spark, n, version="old"):
+    return spark.range(n).selectExpr("cast(id AS int) AS client_id", f"concat('{version}', id) AS name", "cast(id % 7 AS long) AS n")
+
+
+def files(spark, name):
+    """The files of each bucket."""
+    out = {}
+    for path in spark.table(name).inputFiles():
+        out.setdefault(int(re.search(rf"{BUCKET}=(\d+)", path)[1]), set()).add(Path(path).name)
+    return out
+
+
+def test_merge_rewrites_only_touched_buckets(spark, folder, name):
+    old = people(spark, 5000)
+    create_bucketed(old, name, "client_id", folder, buckets=32)
+    assert is_bucketed(spark, name) and rows_of(bucketed_table(spark, name)) == rows_of(old)
+    before = files(spark, name)
+    updates = people(spark, 3, "new").unionByName(people(spark, 1, "newer")).unionByName(spark.sql("SELECT 9999 AS client_id, 'added' AS name, 1L AS n"))
+    expected = rows_of(upsert(old, updates, "client_id"))
+    touched = {row[0] for row in updates.select(bucket_of("client_id", 32)).collect()}
+    for _ in range(2):  # the second time changes nothing
+        assert rows_of(merge_buckets(updates, name)) == expected
+    after = files(spark, name)
+    assert {b for b in before if before[b] != after.get(b)} == touched and 0 < len(touched) <= 4
+    assert spark.table(name).groupBy("client_id").count().where("count > 1").isEmpty()
+
+
+def test_merge_with_no_rows_null_keys_and_new_buckets(spark, folder, name):
+    create_bucketed(people(spark, 2), name, "client_id", folder, buckets=64)
+    before = files(spark, name)
+    merge_buckets(people(spark, 0), name)
+    assert files(spark, name) == before
+    nameless = spark.sql("SELECT CAST(NULL AS INT) AS client_id, 'a' AS name, 1L AS n")
+    merge_buckets(nameless, name)
+    merge_buckets(nameless.withColumn("name", F.lit("b")), name)
+    merge_buckets(people(spark, 40, "new"), name)
+    assert bucketed_table(spark, name).count() == 41
+    assert [r.name for r in bucketed_table(spark, name).where("client_id IS NULL").collect()] == ["b"]
+
+
+def test_scan_for_some_keys_is_pruned_to_their_buckets(spark, folder, name):
+    create_bucketed(people(spark, 2000), name, "client_id", folder, buckets=32)
+    keys = spark.sql("SELECT * FROM VALUES (5), (77), (77), (100000) AS t(k)")
+    found = rows_of_keys(spark, name, keys)
+    assert [r[0] for r in rows_of(found)] == [5, 77]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(rf"PartitionFilters: \[[^\]]*{BUCKET}", plan)
+
+
+def test_only_bucketed_tables_are_merged_by_bucket(spark, folder, name):
+    people(spark, 3).write.option("path", f"{folder}/plain").saveAsTable(name)
+    assert not is_bucketed(spark, name) and not is_bucketed(spark, f"{DATABASE}.absent")
+    with pytest.raises(ValueError, match="not a bucketed table"):
+        merge_buckets(people(spark, 3), name)
+
+
+def test_summary_equals_a_rebuild_after_any_loads(spark, lay, folder):
+    sales, path = f"{folder}/sales", f"{folder}/summary"
+    known = lay.sales.where("purchase_date BETWEEN '1997-12-20' AND '1998-01-20'")
+    known = staged(known.withColumn("purchase_date", F.expr("if(client_id % 50 = 0, null, purchase_date)")), "known")
+    early = F.coalesce(F.col("purchase_date") < "1998-01-05", F.lit(False))
+    overwrite_partitioned(known.where(early), sales, "purchase_date")
+    summary.build_summary(spark.read.parquet(sales), path)
+    names = sorted(summary.client_days(known).columns)
+    read = lambda: rows_of(summary.stored_summary(spark, path).select(*names))
+    for _ in range(2):
+        summary.add_sales(known.where(~early), sales, path)
+        assert read() == rows_of(summary.client_days(known).select(*names))
+    day = F.col("purchase_date") == known.agg(F.min("purchase_date")).first()[0]
+    summary.replace_sales(known.where(day).withColumn("price", F.lit(1).cast("decimal(10,2)")), sales, path)
+    stored = spark.read.parquet(sales)
+    assert read() == rows_of(summary.client_days(stored).select(*names))
+    kept = summary.stored_summary(spark, path)
+    assert rows_of(summary.totals(kept)) == rows_of(analytics.client_totals(stored))
+    when = F.col("purchase_date").isNotNull()
+    asked = analytics.top_state(kept, lay.enriched, k=9, orders="orders", when=when)
+    assert rows_of(asked) == rows_of(analytics.top_state(stored, lay.enriched, k=9, when=when))
+
+
+def test_a_refresh_reads_the_folders_of_its_months_only(spark, lay, folder):
+    sales = f"{folder}/sales"
+    overwrite_partitioned(lay.sales.where("purchase_date BETWEEN '1997-12-20' AND '1998-01-20'"), sales, "purchase_date")
+    stored = spark.read.parquet(sales).where(F.trunc("purchase_date", "month").isin([date(1998, 1, 1)]))
+    scan = stored._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*trunc\(purchase_date", scan)
+
+
+def test_sketches_of_days_unite(spark):
+    rows = spark.range(60_000).selectExpr(
+        "cast(id % 20000 AS int) AS client_id", "date_add(date'2022-01-01', cast(id % 30 AS int)) AS purchase_date", "'TV' AS product_name"
+    )
+    sketches = day_sketches(rows, "product_name")
+    assert sketches.count() == 30
+    found = distinct_in(sketches.where("purchase_date < '2022-01-11'"), "product_name").first()["distinct_estimate"]
+    exact = rows.where("purchase_date < '2022-01-11'").select("client_id").distinct().count()
+    assert abs(found - exact) <= 0.05 * exact
+    assert distinct_in(sketches.limit(0), "product_name").count() == 0

@@ -119,6 +119,14 @@ def test_late_rows_join_their_day_and_reloads_add_nothing(spark, folder):
     assert read() == [(3,)]
 
 
+def test_a_day_delivered_again_with_corrections_is_replaced(spark, folder):
+    overwrite_partitioned(sales(spark, (1, "2022-09-01", "1"), (2, "2022-09-02", "1"), (3, "2022-09-02", "3")), folder, "purchase_date")
+    for _ in range(2):
+        reload_days(sales(spark, (2, "2022-09-02", "2")), folder, replace=True)
+    found = rows_of(spark.read.parquet(folder).selectExpr("client_id", "cast(price AS string)"))
+    assert found == [(1, "1.00"), (2, "2.00")]
+
+
 def test_contract_is_checked_before_anything_is_written(spark, folder):
     good = sales(spark, (1, "2022-09-01", "1"))
     overwrite(good, folder)

@@ -192,6 +192,24 @@ def test_upsert_replaces_whole_rows(spark):
     assert rows_of(upsert_by_join(old, new, "k")) == expected
 
 
+def test_upsert_cuts_updates_to_a_row_and_takes_null_as_a_key(spark):
+    old = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k int, v string")
+    new = spark.createDataFrame([(2, "z"), (2, "y"), (2, None), (None, "n"), (4, "d")], "k int, v string")
+    assert rows_of(upsert(old, new, "k")) == rows_of(spark.createDataFrame([(1, "a"), (2, None), (None, "n"), (4, "d")], old.schema))
+    assert rows_of(upsert(old, new.limit(0), "k")) == rows_of(old)
+
+
+def test_upsert_leaves_old_rows_where_they_are(spark):
+    """The old rows are neither exchanged nor sorted when the new keys are few."""
+    from strataflow.session import staged
+
+    old = staged(spark.range(100_000).selectExpr("id AS k", "cast(id AS string) AS v"), "old")
+    new = staged(spark.range(10).selectExpr("id * 7 AS k", "'new' AS v"), "new")
+    plan = upsert(old, new, "k")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and plan.count("Exchange hashpartitioning") <= 2  # of the updates, for either use
+    assert upsert(old, new, "k").where("v = 'new'").count() == 10
+
+
 def test_quality_counts_add_up(spark):
     raw = spark.createDataFrame(
         [("1", "2022-09-1", "TV", "5"), ("x", "never", "TV", ""), ("2", "2022-09-1", "TV", "")], RAW
