@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..schemas import GOLD_CUSTOMERS, SILVER_CUSTOMERS, require_contract
+from ..schemas import GOLD_CUSTOMERS, SILVER_CUSTOMERS, read_through, require_contract
 from ..operators.dedup import upsert, upsert_by_join
 from ..plans import gold, silver
 from ..sinks import create_bucketed, merge_buckets, merge_into, overwrite, overwrite_partitioned, replace_table
@@ -174,3 +174,20 @@ def _(lay):
 @query("b12_contract_gate", "SELECT * FROM gold_customers")
 def _(lay):
     return require_contract(gold_with_stamp(lay), GOLD_CUSTOMERS).drop("processed_at")
+
+
+@query(
+    "b12_contract_versions",
+    """SELECT client_id, email, first_name, last_name, registration_date, state, birth_date, age,
+              CASE WHEN client_id % 2 = 1 THEN phone_number END AS phone_number FROM gold_customers""",
+)
+def _(lay):
+    """Half of the customers were written with a narrow id and no telephone number, before these came in."""
+    now = StructType(GOLD_CUSTOMERS[:-1].fields)
+    old = StructType([*(f for f in now if f.name not in ("client_id", "phone_number"))]).add("client_id", "integer")
+    early, late = scratch(lay, "gold-1"), scratch(lay, "gold-2")
+    odd = F.col("client_id") % 2 == 1
+    before = lay.enriched.where(~odd).withColumn("client_id", F.col("client_id").cast("int"))
+    overwrite(require_contract(before.drop("phone_number"), old), early)
+    overwrite(require_contract(lay.enriched.where(odd), now), late)
+    return read_through(lay.spark, {early: old, late: now}, now)

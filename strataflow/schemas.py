@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DecimalType, DoubleType, StructField, StructType
 
 MONEY = "decimal(10,2)"
 
@@ -76,3 +77,65 @@ def require_contract(df: DataFrame, contract: StructType) -> DataFrame:
     if differences:
         raise ContractError("; ".join(differences))
     return df.select(*contract.fieldNames())
+
+
+# Types whose values all fit into the ones they are listed with.
+WIDER = {
+    "tinyint": {"smallint", "int", "bigint", "double"},
+    "smallint": {"int", "bigint", "double"},
+    "int": {"bigint", "double"},
+    "float": {"double"},
+    "date": {"timestamp_ntz"},
+}
+_DIGITS = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
+
+
+def widens(old: DataType, new: DataType) -> bool:
+    """Whether every value of ``old`` is one of ``new``, digits after the point included."""
+    have, want = old.simpleString(), new.simpleString()
+    if isinstance(new, DecimalType):
+        whole = old.precision - old.scale if isinstance(old, DecimalType) else _DIGITS.get(have, 99)
+        scale = old.scale if isinstance(old, DecimalType) else 0
+        return new.scale >= scale and new.precision - new.scale >= whole
+    return have == want or want in WIDER.get(have, ())
+
+
+def breaking_changes(old: StructType, new: StructType) -> list[str]:
+    """What keeps a contract from following another: columns that went, were narrowed or changed their type.
+
+    Columns that are added or widened do not.
+    """
+    want = {f.name: f.dataType for f in new}
+    gone = [f"column {f.name} {f.dataType.simpleString()} is gone" for f in old if f.name not in want]
+    narrowed = [
+        f"column {f.name} was {f.dataType.simpleString()}, {want[f.name].simpleString()} does not hold it"
+        for f in old
+        if f.name in want and not widens(f.dataType, want[f.name])
+    ]
+    return gone + narrowed
+
+
+def require_successor(old: StructType, new: StructType) -> StructType:
+    """``new``, or an error that lists what breaks readers of ``old``."""
+    broken = breaking_changes(old, new)
+    if broken:
+        raise ContractError("; ".join(broken))
+    return new
+
+
+def through_contract(df: DataFrame, contract: StructType) -> DataFrame:
+    """Rows of an earlier contract as rows of ``contract``: new columns are NULL, narrow ones are widened."""
+    require_successor(df.schema, contract)
+    have = set(df.columns)
+    return df.select(*(
+        (F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in contract
+    ))
+
+
+def read_through(spark: SparkSession, paths: dict[str, StructType], contract: StructType) -> DataFrame:
+    """Parquet folders of several versions, each with the contract it was written by, as rows of the newest."""
+    parts = [through_contract(spark.read.schema(version).parquet(path), contract) for path, version in paths.items()]
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole

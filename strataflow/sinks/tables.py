@@ -8,19 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from ..operators.dedup import upsert
-from ..schemas import require_contract
+from ..schemas import require_contract, require_successor
 from ..sources.catalog import attach_files, quoted
 
 
 def replace_table(
-    df: DataFrame, name: str, contract: StructType | None = None, location: str | None = None
+    df: DataFrame, name: str, contract: StructType | None = None, location: str | None = None, evolve: bool = False
 ) -> DataFrame:
     """Overwrite a table, in a schema that is made if there is none.
 
-    A frame that breaks the contract fails before anything is written.
+    A frame that breaks the contract fails before anything is written, and with ``evolve`` so does a contract that
+    takes away, narrows or retypes a column which the table has now.
     """
     if contract is not None:
         df = require_contract(df, contract)
+    if evolve and df.sparkSession.catalog.tableExists(quoted(name)):
+        require_successor(df.sparkSession.table(quoted(name)).schema, df.schema)
     if "." in name:
         df.sparkSession.sql(f"CREATE SCHEMA IF NOT EXISTS {quoted(name.rpartition('.')[0])}")
     writer = df.write.mode("overwrite").format("parquet")

@@ -21,8 +21,11 @@ from strataflow.schemas import (
     RAW_SALES,
     SILVER_SALES,
     ContractError,
+    breaking_changes,
     contract_differences,
+    read_through,
     require_contract,
+    through_contract,
 )
 from strataflow.session import fresh_path, shared_folder
 from strataflow.sinks import merge_into, overwrite, overwrite_days, overwrite_partitioned, plan_text, preview
@@ -141,6 +144,35 @@ def test_contract_is_checked_before_anything_is_written(spark, folder):
     assert spark.read.parquet(folder).count() == 1
 
 
+def test_contracts_may_grow_and_widen_and_nothing_else(spark, folder, database):
+    declared = lambda text: spark.createDataFrame([], text).schema
+    old = declared("id int, price decimal(10,2), day date")
+    wider = declared("id bigint, price decimal(14,3), day date, note string")
+    assert breaking_changes(old, wider) == []
+    assert breaking_changes(wider, old) == [
+        "column note string is gone",
+        "column id was bigint, int does not hold it",
+        "column price was decimal(14,3), decimal(10,2) does not hold it",
+    ]
+    changes = [("int", "decimal(10,0)", True), ("int", "decimal(10,2)", False), ("bigint", "double", False), ("float", "double", True)]
+    changes += [("string", "int", False), ("date", "timestamp", False), ("decimal(10,2)", "decimal(11,3)", True), ("decimal(10,2)", "decimal(10,3)", False)]
+    for have, want, fits in changes:
+        one, two = declared(f"a {have}"), declared(f"a {want}")
+        assert (breaking_changes(one, two) == []) == fits, (have, want)
+    rows = spark.createDataFrame([(1, Decimal("2.50"), date(2022, 9, 1))], old)
+    overwrite(rows, f"{folder}/1")
+    overwrite(through_contract(rows, wider), f"{folder}/2")
+    both = read_through(spark, {f"{folder}/1": old, f"{folder}/2": wider}, wider)
+    assert both.schema.simpleString() == wider.simpleString()
+    assert rows_of(both) == [(1, Decimal("2.500"), date(2022, 9, 1), None)] * 2
+    name = f"{database}.e_{folder[-8:]}"
+    replace_table(rows, name, old, f"{folder}/t", evolve=True)
+    replace_table(through_contract(rows, wider), name, wider, f"{folder}/t", evolve=True)
+    with pytest.raises(ContractError, match="note string is gone; column id was bigint"):
+        replace_table(rows, name, old, f"{folder}/t", evolve=True)
+    assert spark.table(name).columns == wider.fieldNames()
+
+
 @pytest.fixture
 def database(spark):
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {DATABASE} LOCATION '{shared_folder(spark)}/strataflow/{DATABASE}'")
