@@ -7,6 +7,7 @@ filter on the document id, so a reader of some documents skips stripes, and stri
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -45,7 +46,8 @@ class _Words(dict):
         super().__init__()
         self.tokenizer, self.model, self.cores = tokenizer, tokenizer.model, {}
         added = [] if tokenizer.encode_special_tokens else tokenizer.get_added_tokens_decoder().values()
-        self.special = [token.content.encode("utf-8").lower() for token in added]
+        names = b"|".join(re.escape(token.content.encode("utf-8")) for token in added)
+        self.special = re.compile(names or rb"(?!)", re.IGNORECASE).search
         self.letters = str.maketrans({chr(b): c for b, c in enumerate(_byte_letters())})
 
     def ids(self, text: str) -> bytes:
@@ -55,8 +57,8 @@ class _Words(dict):
         if len(self) >= KEPT:
             self.clear()
             self.cores.clear()
-        core, low = word.rstrip(b".,;:!?"), word.lower()
-        if any(special in low for special in self.special):
+        core = word.rstrip(b".,;:!?")
+        if self.special(word):
             found = array("i", self.tokenizer.encode(word.decode("utf-8"), add_special_tokens=False).ids).tobytes()
         elif core and core != word and normalize("NFC", core.decode("utf-8"))[-1].lower().isalpha():
             found = self.core(core) + self.core(word[len(core) :])
