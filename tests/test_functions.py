@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from datetime import date
-from decimal import ROUND_HALF_UP, Decimal
+from decimal import ROUND_HALF_UP, Decimal, localcontext
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -132,7 +132,8 @@ def read_price(text):
     kept = re.sub("[^0-9.]", "", text)
     if not re.fullmatch(r"\d+\.?\d*|\.\d+", kept):
         return None
-    value = Decimal(kept).quantize(Decimal("0.01"), ROUND_HALF_UP)
+    with localcontext(prec=1000):  # as many digits as a text may have
+        value = Decimal(kept).quantize(Decimal("0.01"), ROUND_HALF_UP)
     return value if value < 10**8 else None
 
 
