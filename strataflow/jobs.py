@@ -209,9 +209,14 @@ def ingest_sales(spark: SparkSession, raw: str, bronze_path: str, checkpoint: st
     return {"rows_in": ingest_new_files(spark, raw, bronze_path, checkpoint, RAW_SALES, bronze.sales_bronze)}
 
 
-def ingest_customers(spark: SparkSession, raw: str, bronze_path: str, checkpoint: str) -> Counts:
+def ingest_customers(
+    spark: SparkSession, raw: str, bronze_path: str, checkpoint: str, unique_within: str | None = None
+) -> Counts:
+    """New dumps only. With ``unique_within`` a line of a dump that is delivered again within that time adds nothing."""
+    line = (*RAW_CUSTOMERS.fieldNames(), "delivery_date")
+    again = {"unique": line, "within": unique_within} if unique_within else {}
     rows = ingest_new_files(
-        spark, raw, bronze_path, checkpoint, RAW_CUSTOMERS, bronze.customers_bronze, folders=("delivery_date",)
+        spark, raw, bronze_path, checkpoint, RAW_CUSTOMERS, bronze.customers_bronze, folders=("delivery_date",), **again
     )
     return {"rows_in": rows}
 
@@ -277,6 +282,7 @@ def main(argv: list[str] | None = None) -> Counts:
     commands.choices["customers-merge"].add_argument("--buckets", type=int)
     commands.choices["top-state"].add_argument("--k", type=int, default=1)
     commands.choices["top-state"].add_argument("--of-summary", action="store_true")
+    commands.choices["customers-ingest"].add_argument("--unique-within")
     commands.choices["customers-gold"].add_argument("--location")
     commands.choices["customers-gold"].add_argument("--as-of")
     given = vars(parser.parse_args(argv))

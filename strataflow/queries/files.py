@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..plans import bronze
 from ..schemas import RAW_CUSTOMERS, RAW_PROFILES, RAW_SALES, SILVER_CUSTOMERS
-from ..sinks import append, overwrite, overwrite_days, overwrite_partitioned, preview, write_csv
+from ..sinks import append, overwrite, overwrite_days, overwrite_days_sorted, overwrite_partitioned, preview, write_csv
 from ..sources import csv_delivery, drop_void_columns, json_lines, parquet, split_malformed, with_delivery_date
 from ..sources.files import MALFORMED
 from ..streaming import ingest_new_files, reload_days
@@ -265,6 +265,35 @@ def _(lay):
     return parquet(lay.spark, where["bronze"]).drop("ingested_at", "delivery_date")
 
 
+@query(
+    "k1_redelivered_lines",
+    """SELECT Id, FirstName, LastName, Email, RegistrationDate, State,
+              CAST(try_strptime(delivery_date, '%Y-%m-%d') AS DATE) AS delivery_date FROM raw_customers""",
+)
+def _(lay):
+    """Each dump is delivered twice, the second time in new files and after the next dump."""
+    root = scratch(lay, "stream")
+    where = {"raw": f"{root}/raw", "bronze": f"{root}/bronze", "checkpoint": f"{root}/checkpoint"}
+    line = (*RAW_CUSTOMERS.fieldNames(), "delivery_date")
+    for days in (DUMPS[:1], DUMPS[:2], DUMPS[1:], DUMPS[2:]):
+        customer_folders(lay, where["raw"], days)
+        ingest_new_files(lay.spark, **where, schema=RAW_CUSTOMERS, shape=bronze.customers_bronze, unique=line)
+    return parquet(lay.spark, where["bronze"]).drop("ingested_at")
+
+
+@query(
+    "b2_days_sorted_by_client",
+    """SELECT s.* FROM silver_sales s
+       JOIN (SELECT client_id FROM silver_customers WHERE state = 'MOVED') m ON s.client_id = m.client_id""",
+)
+def _(lay):
+    """Sales stored by day and sorted by client, then the history of the customers who moved."""
+    path = scratch(lay, "sales-by-day")
+    overwrite_days_sorted(lay.sales, path, "purchase_date", "client_id")
+    moved = lay.customers.where(F.col("state") == "MOVED").select("client_id")
+    return parquet(lay.spark, path).join(moved, "client_id", "left_semi").select(*lay.sales.columns)
+
+
 @query("k2_idempotent_reload", "SELECT * FROM silver_sales")
 def _(lay):
     path = scratch(lay, "sales-by-day")

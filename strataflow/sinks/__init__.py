@@ -1,5 +1,5 @@
 from .buckets import bucketed_table, create_bucketed, is_bucketed, merge_buckets, rows_of_keys
-from .files import add_to_days, append, overwrite, overwrite_days, overwrite_partitioned, stored_rows, write_csv
+from .files import add_to_days, append, overwrite, overwrite_days, overwrite_days_sorted, overwrite_partitioned, stored_rows, write_csv
 from .tables import merge_into, plan_text, preview, replace_table, save_query, stage_then_attach
 
 __all__ = [
@@ -12,6 +12,7 @@ __all__ = [
     "merge_into",
     "overwrite",
     "overwrite_days",
+    "overwrite_days_sorted",
     "overwrite_partitioned",
     "plan_text",
     "preview",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..sinks.files import STREAM_LOG, add_to_days, exists, overwrite_days
@@ -20,6 +21,8 @@ def ingest_new_files(
     shape: Callable[[DataFrame], DataFrame],
     max_files: int = 10_000,
     folders: tuple[str, ...] = (),
+    unique: tuple[str, ...] = (),
+    within: str = "30 days",
 ) -> int:
     """Append the rows of files not seen by an earlier run, then stop. Returns the rows read.
 
@@ -27,6 +30,11 @@ def ingest_new_files(
     ``shape`` is the same step as in the batch load. ``max_files`` bounds one micro-batch;
     all pending files are still taken. ``folders`` names columns to have folders for. A folder that
     holds other rows is refused, because readers would no longer see them beside the sink's log.
+
+    With ``unique``, a row equal in these columns (NULL equals NULL) to one taken no longer than ``within`` ago adds
+    nothing, also when it comes in another file or run. What is remembered is bounded by the rows of that time. The
+    time of a row is that of its micro-batch, which the checkpoint keeps: no row is ever late, so none is lost, and a
+    batch that has to be repeated decides the same. A row that comes again after ``within`` is taken again.
     """
     if exists(spark, bronze) and not exists(spark, f"{bronze.rstrip('/')}/{STREAM_LOG}"):
         raise ValueError(f"{bronze} holds a snapshot; give the incremental load a folder of its own")
@@ -39,6 +47,9 @@ def ingest_new_files(
         .csv(raw)
     )
     rows = shape(lines.withColumn("delivery_date", delivery_date()))
+    if unique:
+        taken = rows.withColumn("_taken_at", F.current_timestamp()).withWatermark("_taken_at", within)
+        rows = taken.dropDuplicatesWithinWatermark(list(unique)).drop("_taken_at")
     writer = (
         rows.writeStream.format("parquet")
         .outputMode("append")

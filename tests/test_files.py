@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 from datetime import date
 from decimal import Decimal
 from types import SimpleNamespace
@@ -28,7 +29,7 @@ from strataflow.schemas import (
     through_contract,
 )
 from strataflow.session import fresh_path, shared_folder
-from strataflow.sinks import merge_into, overwrite, overwrite_days, overwrite_partitioned, plan_text, preview
+from strataflow.sinks import merge_into, overwrite, overwrite_days, overwrite_days_sorted, overwrite_partitioned, plan_text, preview
 from strataflow.sinks import replace_table
 from strataflow.sources import attach_files, attach_files_sql, csv_delivery, drop_void_columns, json_lines
 from strataflow.sources import parquet, split_malformed, with_delivery_date
@@ -357,3 +358,65 @@ def test_ingest_counts_every_micro_batch(spark, folder):
         put(f"{folder}/raw", f"2022-08-1/{k}.csv", SALES + f"{k},2022-08-1,TV,1\n")
     args = (f"{folder}/raw", f"{folder}/bronze", f"{folder}/state", RAW_SALES, bronze.sales_bronze)
     assert ingest_new_files(spark, *args, max_files=1) == 130
+
+
+def test_redelivered_lines_add_nothing_within_the_time(spark, folder):
+    """Across files, micro-batches and runs; a line that is new on an old day is not lost, NULL equals NULL."""
+    where = {"raw": f"{folder}/raw", "bronze": f"{folder}/bronze", "checkpoint": f"{folder}/state"}
+    line = (*RAW_CUSTOMERS.fieldNames(), "delivery_date")
+    run = lambda within="1 hour": ingest_new_files(
+        spark, **where, schema=RAW_CUSTOMERS, shape=bronze.customers_bronze, max_files=1, unique=line, within=within
+    )
+    ids = lambda: sorted(int(r.Id) for r in spark.read.parquet(where["bronze"]).select("Id").collect())
+    put(where["raw"], "2022-08-2/a.csv", CUSTOMERS + "1,A,,,2022-08-1,\n1,A,,,2022-08-1,\n")
+    put(where["raw"], "2022-08-2/b.csv", CUSTOMERS + "1,A,,,2022-08-1,\n2,B,,b@x,,\n")
+    assert run() == 4 and ids() == [1, 2]
+    put(where["raw"], "2022-08-2/c.csv", CUSTOMERS + "2,B,,b@x,,\n3,C,,,,\n")
+    put(where["raw"], "2001-01-1/late.csv", CUSTOMERS + "1,A,,,2022-08-1,\n")  # another, much older dump
+    assert run() == 3 and ids() == [1, 1, 2, 3]
+    assert run() == 0 and ids() == [1, 1, 2, 3]
+
+
+def test_remembered_lines_are_bounded_by_the_time(spark, folder):
+    where = {"raw": f"{folder}/raw", "bronze": f"{folder}/bronze", "checkpoint": f"{folder}/state"}
+    kept = []
+    for k in range(4):
+        put(where["raw"], f"2022-08-2/{k}.csv", CUSTOMERS + f"7,G,,,,\n{k},A,,,,\n")
+        ingest_new_files(
+            spark, **where, schema=RAW_CUSTOMERS, shape=bronze.customers_bronze, unique=("Id",), within="1 second"
+        )
+        kept.append(spark.read.format("statestore").load(where["checkpoint"]).count())
+        time.sleep(1.5)
+    assert max(kept) <= 4  # lines of two runs at most, of five ids in all
+    again = spark.read.parquet(where["bronze"]).where("Id = '7'").count()
+    assert 2 <= again <= 4  # taken again when it is no longer remembered
+
+
+def rows_scanned(df) -> int:
+    """Rows that the file scan of ``df`` hands on, before any filter."""
+    df.collect()
+    scan = df._jdf.queryExecution().executedPlan().collectLeaves().head()
+    return scan.metrics().apply("numOutputRows").value()
+
+
+def test_days_sorted_by_client_skip_row_groups(spark, folder):
+    rows = spark.range(200_000, numPartitions=4).selectExpr(
+        "date_add(date'2022-09-01', cast(id % 2 AS int)) AS purchase_date",
+        "cast(xxhash64(id) % 20000 * 2 AS int) AS client_id",
+        "cast(id AS string) AS product_name",
+    )
+    rows = rows.unionByName(spark.sql("SELECT date'2022-09-01' AS purchase_date, cast(null AS int) AS client_id, 'x' AS product_name"))
+    overwrite_days_sorted(rows, f"{folder}/sorted", "purchase_date", "client_id", row_group=64 << 10)
+    overwrite_days(rows, f"{folder}/plain", "purchase_date")
+    got, plain = spark.read.parquet(f"{folder}/sorted"), spark.read.parquet(f"{folder}/plain")
+    assert got.count() == 200_001 and got.where("client_id IS NULL").count() == 1
+    client = got.where("client_id > 0").agg(F.min("client_id")).first()[0]  # in the middle of the bounds
+    one = got.where(F.col("client_id") == client)
+    assert rows_of(one.select("product_name")) == rows_of(plain.where(F.col("client_id") == client).select("product_name"))
+    few, many = rows_scanned(one), rows_scanned(plain.where(F.col("client_id") == client))
+    print(f"rows read: {few} sorted, {many} unsorted")
+    assert 0 < few * 5 < many
+    assert rows_scanned(got.where(F.col("client_id") == 1)) == 0  # within the bounds, but no client has an odd id
+    # A day that is written again replaces the day and leaves the other as it is.
+    overwrite_days_sorted(rows.where("purchase_date = date'2022-09-01'").limit(5), f"{folder}/sorted", "purchase_date", "client_id")
+    assert spark.read.parquet(f"{folder}/sorted").count() == 100_005
