@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..plans import bronze
+from ..plans.analytics import in_date_range
 from ..schemas import RAW_CUSTOMERS, RAW_PROFILES, RAW_SALES, SILVER_CUSTOMERS
+from ..session import staged
 from ..sinks import append, overwrite, overwrite_days, overwrite_days_sorted, overwrite_partitioned, preview, write_csv
 from ..sources import csv_delivery, drop_void_columns, json_lines, parquet, split_malformed, with_delivery_date
 from ..sources.files import MALFORMED
@@ -187,7 +189,7 @@ def _(lay):
 )
 def _(lay):
     path = scratch(lay, "sales-by-month")
-    monthly = lay.sales.withColumn("month", F.trunc("purchase_date", "month"))
+    monthly = staged(lay.sales, "sales").withColumn("month", F.trunc("purchase_date", "month"))
     overwrite_partitioned(monthly, path, "month")
     corrected = monthly.where(F.year("purchase_date") == 1997)
     overwrite_days(corrected.withColumn("price", (F.col("price") + 1).cast("decimal(10,2)")), path, "month")
@@ -296,18 +298,19 @@ def _(lay):
 
 @query("k2_idempotent_reload", "SELECT * FROM silver_sales")
 def _(lay):
-    path = scratch(lay, "sales-by-day")
-    reload_days(lay.sales, path)
-    reload_days(lay.sales.where(F.year("purchase_date") == 1999), path)
+    path, known = scratch(lay, "sales-by-day"), staged(lay.sales, "sales")
+    reload_days(known, path)
+    reload_days(known.where(F.year("purchase_date") == 1999), path)
     return parquet(lay.spark, path).select(*lay.sales.columns)
 
 
 @query("k2_corrected_days", "SELECT * FROM silver_sales")
 def _(lay):
     """A month is loaded with wrong prices, twice over, and then delivered again, twice."""
-    path, month = scratch(lay, "sales-by-day"), F.trunc("purchase_date", "month") == F.lit("1996-03-01").cast("date")
-    wrong = lay.sales.where(month).withColumn("price", (F.col("price") / 2).cast("decimal(10,2)"))
-    reload_days(lay.sales.where(~month).unionByName(wrong).unionByName(wrong), path)
+    path, known = scratch(lay, "sales-by-day"), staged(lay.sales, "sales")  # read for five parts of the loads
+    month = in_date_range(F.col("purchase_date"), "1996-03-01", "1996-03-31")
+    wrong = known.where(month).withColumn("price", (F.col("price") / 2).cast("decimal(10,2)"))
+    reload_days(known.where(~month).unionByName(wrong).unionByName(wrong), path)
     for _again in range(2):
-        reload_days(lay.sales.where(month), path, replace=True)
+        reload_days(known.where(month), path, replace=True)
     return parquet(lay.spark, path).select(*lay.sales.columns)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from conftest import plan_of, rows_of
 from strataflow import jobs
 from strataflow.plans import bronze
+from strataflow.queries import registry
 from strataflow.queries.registry import DATABASE
 from strataflow.schemas import (
     BRONZE_CUSTOMERS,
@@ -420,3 +421,24 @@ def test_days_sorted_by_client_skip_row_groups(spark, folder):
     # A day that is written again replaces the day and leaves the other as it is.
     overwrite_days_sorted(rows.where("purchase_date = date'2022-09-01'").limit(5), f"{folder}/sorted", "purchase_date", "client_id")
     assert spark.read.parquet(f"{folder}/sorted").count() == 100_005
+
+
+def counting(spark, df):
+    """``df`` with a column computed by a function that counts its rows, and the counter."""
+    seen = spark.sparkContext.accumulator(0)
+    tick = F.udf(lambda x: seen.add(1) or x, "int").asNondeterministic()
+    return df.withColumn("client_id", tick("client_id")), seen
+
+
+@pytest.mark.parametrize("name", ["k2_corrected_days", "k2_idempotent_reload", "b3_dynamic_partition_overwrite"])
+def test_sales_are_derived_once_for_all_their_loads(spark, monkeypatch, name):
+    days = ("1996-02-29", "1996-03-01", "1996-03-31", "1996-04-01", "1997-05-06", "1999-01-01")
+    known = sales(spark, *[(i, day, f"{i}.50") for i, day in enumerate(days * 3)])
+    derived, seen = counting(spark, known)
+    monkeypatch.setattr(registry, "Layers", lambda spark, folder: SimpleNamespace(spark=spark, sales=derived))
+    got = registry.QUERIES[name](spark, "unused")
+    expected = known
+    if name.startswith("b3"):
+        expected = known.withColumn("price", F.expr("cast(price + if(year(purchase_date) = 1997, 1, 0) AS decimal(10,2))"))
+    assert rows_of(got.select(*known.columns)) == rows_of(expected)
+    assert seen.value == known.count()
