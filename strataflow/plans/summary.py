@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sinks import add_to_days, overwrite_days, overwrite_partitioned
+from ..session import staged
+from ..sinks import add_to_days, among, overwrite_days, overwrite_partitioned
 from .analytics import PER_CLIENT_MONEY, client_totals
 
 DAY, MONTH = "purchase_date", "purchase_month"
@@ -37,25 +38,23 @@ def stored_summary(spark: SparkSession, path: str) -> DataFrame:
 def refresh_months(spark: SparkSession, sales: str, path: str, days: DataFrame) -> None:
     """Sum the months of ``days`` (a frame with the day column) anew from the sales stored in ``sales``.
 
-    The calendar bounds the number of months, so they are told to the scan by value, which then reads the folders of
-    their days only. A month that has sales in the summary but none in ``sales`` any more keeps its folder.
+    The scan reads the folders of the days of these months only. A month that has sales in the summary but none in
+    ``sales`` any more keeps its folder.
     """
-    month = F.trunc(DAY, "month")
-    listed = [row[0] for row in days.select(month).distinct().toLocalIterator()]
-    wanted = month.isin([first for first in listed if first is not None])
-    if None in listed:
-        wanted = wanted | F.col(DAY).isNull()
+    wanted = among(F.trunc(DAY, "month"), days)
     overwrite_days(_by_month(spark.read.parquet(sales).where(wanted)), path, MONTH)
 
 
 def add_sales(df: DataFrame, sales: str, path: str, stamps: tuple[str, ...] = ()) -> None:
     """Add the rows that the stored sales lack, then bring the summary of their months up to date."""
+    df = staged(df, "delivery")  # the months are asked of it again
     add_to_days(df, sales, DAY, stamps)
     refresh_months(df.sparkSession, sales, path, df)
 
 
 def replace_sales(df: DataFrame, sales: str, path: str) -> None:
     """Replace the stored sales of the days in ``df``, then the summary of their months."""
+    df = staged(df, "delivery")
     overwrite_days(df, sales, DAY)
     refresh_months(df.sparkSession, sales, path, df)
 

@@ -263,8 +263,9 @@ def _(lay):
     first = known.where(~late).withColumn("price", F.when(wrong, 1).otherwise(price).cast("decimal(10,2)"))
     overwrite_partitioned(first, sales, "purchase_date")
     summary.build_summary(lay.spark.read.parquet(sales), path)
+    delivery = staged(known.where(late), "late")
     for _again in range(2):
-        summary.add_sales(known.where(late), sales, path)
+        summary.add_sales(delivery, sales, path)
     summary.replace_sales(known.where(wrong), sales, path)
     return summary.stored_summary(lay.spark, path)
 

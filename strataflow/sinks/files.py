@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import staged
@@ -69,6 +69,17 @@ def overwrite_days_sorted(df: DataFrame, path: str, day: str, key: str, row_grou
     writer.option(f"parquet.bloom.filter.enabled#{key}", True).partitionBy(day).parquet(path)
 
 
+def among(column: Column, df: DataFrame) -> Column:
+    """Whether ``column``, a day or month, has a value that it has in ``df``; NULL is a value, too.
+
+    The calendar bounds their number, so they are told by value: a scan of a table with a folder for each day then
+    reads these folders only. A join on NULL-safe equality would read them all.
+    """
+    listed = [row[0] for row in df.select(column).distinct().toLocalIterator()]
+    found = column.isin([value for value in listed if value is not None])
+    return found | column.isNull() if None in listed else found
+
+
 def add_to_days(df: DataFrame, path: str, day: str, stamps: tuple[str, ...] = ()) -> None:
     """Append the rows that the table lacks, counting copies; nothing that is there is touched.
 
@@ -80,9 +91,8 @@ def add_to_days(df: DataFrame, path: str, day: str, stamps: tuple[str, ...] = ()
         df = staged(df, "delivery")  # it is read for its days and for its rows
         compared = [name for name in df.columns if name not in stamps]
         copy = F.row_number().over(Window.partitionBy(*compared).orderBy(F.lit(1)))
-        there = spark.read.schema(df.schema).parquet(path).select(*compared)
-        days = df.select(F.col(day).alias("_day")).distinct()
-        there = there.join(days, F.col(day).eqNullSafe(F.col("_day")), "left_semi").withColumn("_copy", copy)
+        there = spark.read.schema(df.schema).parquet(path).where(among(F.col(day), df))
+        there = there.select(*compared).withColumn("_copy", copy)
         there = there.withColumnsRenamed({name: f"_{name}" for name in compared} | {"_copy": "__copy"})
         same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in [*compared, "_copy"]]
         df = df.withColumn("_copy", copy).join(there, same, "left_anti").drop("_copy")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from conftest import plan_of, rows_of
 from strataflow import jobs
-from strataflow.plans import bronze
+from strataflow.plans import bronze, summary
 from strataflow.queries import registry
 from strataflow.queries.registry import DATABASE
 from strataflow.schemas import (
@@ -442,3 +442,24 @@ def test_sales_are_derived_once_for_all_their_loads(spark, monkeypatch, name):
         expected = known.withColumn("price", F.expr("cast(price + if(year(purchase_date) = 1997, 1, 0) AS decimal(10,2))"))
     assert rows_of(got.select(*known.columns)) == rows_of(expected)
     assert seen.value == known.count()
+
+
+@pytest.mark.parametrize("replace", [False, True])
+def test_the_summary_derives_a_delivery_once(spark, folder, replace):
+    table, path = f"{folder}/sales", f"{folder}/summary"
+    overwrite_partitioned(sales(spark, (1, "2022-09-01", "1")), table, "purchase_date")
+    summary.build_summary(spark.read.parquet(table), path)
+    late, seen = counting(spark, sales(spark, (2, "2022-09-01", "2"), (3, "2022-10-01", "3")))
+    (summary.replace_sales if replace else summary.add_sales)(late, table, path)
+    assert rows_of(summary.stored_summary(spark, path).select("client_id")) == [(1,), (2,), (3,)][replace:]
+    assert seen.value == 2
+
+
+def test_added_days_read_no_other_days(spark, folder):
+    dayless = sales(spark, (5, "2022-09-02", "5")).withColumn("purchase_date", F.lit(None).cast("date"))
+    overwrite_partitioned(sales(spark, (1, "2022-09-01", "1")).unionByName(dayless), folder, "purchase_date")
+    put(folder, "purchase_date=2022-09-02/broken.parquet", "no reader gets past this")
+    new = sales(spark, (1, "2022-09-01", "1"), (2, "2022-09-01", "2"), (3, "2022-09-03", "3")).unionByName(dayless)
+    reload_days(new, folder)
+    left = spark.read.schema(new.schema).parquet(folder).where("coalesce(purchase_date <> '2022-09-02', true)")
+    assert rows_of(left.select("client_id")) == [(1,), (2,), (3,), (5,)]
