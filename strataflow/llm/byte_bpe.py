@@ -22,7 +22,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from .common import text_batches
+from .common import give_back, text_batches
 
 KEPT = 250_000  # pieces, and pairs of tokens, remembered by a worker before it forgets them all
 LONG = 1 << 20  # characters from which a text is split piece by piece
@@ -140,7 +140,7 @@ class Codec(Vocabulary):
     def forget(self) -> None:
         self.pieces.clear()
         self.pairs.clear()
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     def encode(self, text: str) -> bytes:
         """Ids as 32-bit integers."""
@@ -235,5 +235,6 @@ class BytePairEncoder:
                 ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy())
                 rows = zip(np.append(0, ends[:-1]).tolist(), ends.tolist(), lists.is_valid().to_pylist(), strict=True)
                 yield pa.array([codec.decode(flat[a:b]) if valid else None for a, b, valid in rows], pa.binary())
+            give_back()
 
         return decode(ids)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -22,11 +25,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def text_batches(spark: SparkSession) -> None:
     """Sizes batches for rows that are whole texts, unless the cluster has its own setting.
 
-    Ten thousand documents, the default, are tens of MB outside the heap, on both sides of every worker.
+    Ten thousand documents, the default, are tens of MB outside the heap, on both sides of every worker, and the
+    4,096 rows that a scan holds at a time are tens of MB of the heap.
     """
-    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not spark.sparkContext.getConf().contains(setting):
-        spark.conf.set(setting, "1000")
+    for setting, rows in {"spark.sql.execution.arrow.maxRecordsPerBatch": "250", "spark.sql.parquet.columnarReaderBatchSize": "512"}.items():
+        if not spark.sparkContext.getConf().contains(setting):
+            spark.conf.set(setting, rows)
+
+
+def give_back() -> None:
+    """Return the free memory of a worker, which may wait for other work, with others beside it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
 
 
 def unused(columns: list[str], wanted: str) -> str:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import staged
-from .common import text_batches, unused, without_ids
+from .common import give_back, text_batches, unused, without_ids
 from .components import between, joined_up
 from .words import mix, shingles, stream, word_hashes
 
@@ -125,7 +125,7 @@ def _sketch_udf(p: Params):
                 ["n_shingles", "digest", "registers"],
             )
             del texts
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     return sketch
 
@@ -152,7 +152,7 @@ def _estimate_udf(p: Params):
         best, too_far = doubtful(_matrix(u, p), _matrix(v, p), *sizes, p)
         return pa.array(best, mask=too_far)
 
-    return estimate
+    return estimate.asNondeterministic()  # else a filter on it is pushed below and estimates again, in a second worker
 
 
 def _confirm_udf(p: Params):

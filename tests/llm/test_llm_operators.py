@@ -22,8 +22,8 @@ from llm.conftest import LONG, TEXTS
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from conftest import TESTDATA
-from strataflow.llm import chat, exact_dedup, mixing, near_dedup, pii, quality, registry, sharding, token_files, url_filter
+from conftest import TESTDATA, plan_of
+from strataflow.llm import chat, common, exact_dedup, mixing, near_dedup, pii, quality, registry, sharding, token_files, url_filter
 from strataflow.llm.byte_bpe import BytePairEncoder, Codec, unknown_letters
 from strataflow.llm.components import components
 from strataflow.llm.exact_dedup import QuotientFilter, merged
@@ -245,6 +245,21 @@ def test_quality_filter_keeps_columns(odd):
     assert {r.doc_id for r in left.collect()} == fine == set(range(20, 30))  # the long text repeats itself
 
 
+def test_texts_are_measured_and_pairs_estimated_once_in_a_stage(spark, odd, monkeypatch):
+    # A filter on what Python gives, pushed below it, would have a second worker beside the first.
+    assert plan_of(quality.quality_filter(odd)).count("ArrowEvalPython") == 1
+    plans, staged = {}, near_dedup.staged
+    monkeypatch.setattr(near_dedup, "staged", lambda df, label: plans.setdefault(label, plan_of(df)) and staged(df, label))
+    near_dedup.near_dedup(odd)
+    assert plans["possible"].count("ArrowEvalPython") == 1
+
+
+def test_whole_texts_are_read_and_handed_over_in_small_batches(spark):
+    sizes = {"spark.sql.execution.arrow.maxRecordsPerBatch": 250, "spark.sql.parquet.columnarReaderBatchSize": 512}
+    common.text_batches(spark)
+    assert {name: int(spark.conf.get(name)) for name in sizes} == sizes
+
+
 # --- encoders --------------------------------------------------------------------------------------
 
 
